@@ -99,7 +99,10 @@ def evidence(k: float, n: int, scores: list[float]) -> float:
         total += s - base
         if total <= 0:
             break
-        tail = -total + (r - 1) * math.log(total) - math.lgamma(r + 1) - math.lgamma(r) if r > 1 else math.log(-math.expm1(-math.exp(-total)))
+        if r > 1:
+            tail = -total + (r - 1) * math.log(total) - math.lgamma(r + 1) - math.lgamma(r)
+        else:
+            tail = math.log(-math.expm1(-math.exp(-total))) if total < 30 else -total
         best = max(best, -tail - (r - 1) * math.log(2))
     return best
 
