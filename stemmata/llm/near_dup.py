@@ -12,7 +12,7 @@
    likeliest first and more of them each round, until no bucket has an untried one left.
 
 Chance of missing a link of similarity 0.8 in all bands: (1 - 0.8 ** 3) ** 21 = 3e-7; by the likelihood
-test: below 1e-6. Everything else is exact.
+test: 8e-6. Everything else is exact.
 
 Results by case: a null, empty or wordless text has an empty set and is linked with nothing; a row without
 a doc_id is linked with nothing, has no component and is kept; rows of one doc_id with different texts
@@ -41,13 +41,16 @@ REGISTERS, ROWS = 63, 3
 BANDS = REGISTERS // ROWS
 BASE, RATE, LIMIT = 1.001, 20.0, 65535
 #: Log-likelihood that the similarity asked for may lack against the likeliest one.
-DOUBT = 12.5
+DOUBT = 10.0
+#: Equal registers below which the likelihood test always rules out the similarity: of two sets of similarity 0.8
+#: so few are equal with probability 1e-8.
+FEW = 32
 #: Members of a verification group that share a copy of their root's text.
 GROUP = 256
 #: Classes of a block of a bucket.
 BLOCK = 2048
 #: Pairs between two components in a bucket block that the first round tries; later rounds try four times as many.
-TRY = 64
+TRY = 512
 RESULT = ("n_shingles", "component_id", "kept")
 
 _draw = np.random.Generator(np.random.PCG64(7))
@@ -174,23 +177,27 @@ def _open_pairs(rows: DataFrame, percent: int, tries: int) -> DataFrame:
         if len(ids) < 2 or (comp == comp[0]).all():
             return
         sketch = np.frombuffer(b"".join(t.column(7).to_pylist()), np.uint16).reshape(-1, REGISTERS)
-        tried: dict[tuple[int, int], list] = {}
-        cut, half = False, int(REGISTERS * 0.35)
-        for i in range(len(ids)):
+        same, band = [], int(t.column(0)[0].as_py()) >> 48
+        for i in range(len(ids) - 1):
             j = np.arange(i + 1, len(ids))
-            j = j[comp[j] != comp[i]]
+            open_ = (comp[j] != comp[i]) & (np.minimum(n[j], n[i]) * 100 >= np.maximum(n[j], n[i]) * percent)
             if lo[0] != hi[0]:
-                j = j[own[j] != own[i]]
-            j = j[np.minimum(n[j], n[i]) * 100 >= np.maximum(n[j], n[i]) * percent]
-            if not len(j):
-                continue
-            j = j[(sketch[j] == sketch[i]).sum(axis=1) >= half]  # far below what the likelihood test lets pass
-            if not len(j):
-                continue
-            best, ok = likely(np.broadcast_to(sketch[i], (len(j), REGISTERS)), sketch[j], np.full(len(j), n[i]), n[j], percent)
-            for k, e in zip(j[ok].tolist(), best[ok].tolist(), strict=True):
-                tried.setdefault((min(comp[i], comp[k]), max(comp[i], comp[k])), []).append((-e, int(min(ids[i], ids[k])), int(max(ids[i], ids[k]))))
-        a, b = [], []
+                open_ &= own[j] != own[i]
+            j = j[open_]
+            if len(j):
+                equal = sketch[j] == sketch[i]
+                near = equal.sum(axis=1) >= FEW
+                if band:  # a pair is tried in the first bucket that holds it
+                    near &= ~equal[:, : band * ROWS].reshape(len(j), band, ROWS).all(axis=2).any(axis=1)
+                same.append(np.stack([np.full(int(near.sum()), i), j[near]]))
+        i, j = np.concatenate(same, axis=1) if same else np.empty((2, 0), np.int64)
+        tried: dict[tuple[int, int], list] = {}
+        for at in range(0, len(i), 1 << 15):
+            x, y = i[at : at + (1 << 15)], j[at : at + (1 << 15)]
+            best, ok = likely(sketch[x], sketch[y], n[x], n[y], percent)
+            for u, v, e in zip(x[ok].tolist(), y[ok].tolist(), best[ok].tolist(), strict=True):
+                tried.setdefault((min(comp[u], comp[v]), max(comp[u], comp[v])), []).append((-e, int(min(ids[u], ids[v])), int(max(ids[u], ids[v]))))
+        a, b, cut = [], [], False
         for found in tried.values():
             cut |= len(found) > tries
             for _, x, y in sorted(found)[:tries]:
@@ -236,15 +243,16 @@ def classes_and_components(docs: DataFrame, *, text: str = "text", doc_id: str =
     involved = in_buckets.select("id").distinct().join(classes.select("id", "doc", "digest"), "id")
     texts = written(_of_digest(narrow.join(involved, "doc").select("id", "digest", "text"), width).dropDuplicates(["id"]), "texts")
     links = written(_verified(candidates, texts, width, percent), "found")
-    tries, edges = TRY, lambda: links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    tested, tries, edges = candidates, TRY, lambda: links.select(F.col("a").alias("u"), F.col("b").alias("v"))
     labels = components(edges())
     while True:
         labelled = written(in_buckets.join(labels, in_buckets["id"] == labels["node"], "left").select("key", "size", "id", F.coalesce("component", "id").alias("component")), "labelled")
         still = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
         rows = labelled.join(still, "key").join(classes.select("id", "n", "sketch"), "id").select("key", "size", "id", "component", "n", "sketch")
         found = written(_open_pairs(rows, percent, tries).distinct(), "open")
-        untried = written(found.where("a is not null").join(candidates, ["a", "b"], "left_anti"), "pairs")
+        untried = written(found.where("a is not null").join(tested, ["a", "b"], "left_anti"), "pairs")
         new = written(_verified(untried, texts, width, percent), "found")
+        tested = tested.unionAll(untried.select("a", "b"))
         if new.limit(1).count():
             links = links.unionAll(new)
             labels = components(edges())
