@@ -6,6 +6,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import text
 
@@ -17,22 +18,22 @@ def lexical(surface: str) -> str:
     return word[inner[0] : inner[-1] + 1] if inner else ""
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def slug(values: pd.Series) -> pd.Series:
     return values.map(text.slug, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def lexical_surface(values: pd.Series) -> pd.Series:
     return values.map(lexical, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def plain_text(values: pd.Series) -> pd.Series:
     return values.map(text.plain, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def strict_json_error(values: pd.Series) -> pd.Series:
     """What is wrong with a JSON text; null if nothing is."""
     def wrong(x: str) -> str | None:

@@ -48,7 +48,7 @@ def _scalar(value: object, where: str) -> str:
 def metadata(spark: SparkSession, path: str, works: DataFrame | None = None) -> DataFrame:
     """(document, field, value, source_sha256): one row a field that is present; values are JSON texts.
 
-    ``works``: (path) of the XML files; a document without a file is an error.
+    ``works``: (file) of the XML files; a document without a file is an error.
     """
     data = _bytes(spark, path)
     top = _keys(strict_json(data), "metadata", ("documents",), ("_meta",))
@@ -64,7 +64,7 @@ def metadata(spark: SparkSession, path: str, works: DataFrame | None = None) ->
         rows += [(name, f"fields.{k}", _scalar(v, f"{name}: {k}")) for k, v in fields.items()]
     out = spark.createDataFrame(rows, "document string, field string, value string").withColumn("source_sha256", F.lit(hashlib.sha256(data).hexdigest()))
     if works is not None:
-        names = works.select(F.element_at(F.split("path", "/"), -1).alias("document"))
+        names = works.select(F.element_at(F.split("file", "/"), -1).alias("document"))
         none_of(out.select("document").distinct().join(names, "document", "left_anti"), "metadata of unknown files")
     return out
 
