@@ -7,12 +7,12 @@
 3. ``ROWS`` registers make a band. In each bucket of equal bands every class is paired with the smallest
    class there (a star, not all pairs). Pairs whose sizes rule out the similarity, or whose joint maximum
    likelihood does, go no further; the others are verified on the full sets of the two texts.
-4. Components of the links. In the buckets that still hold several components, blocks of classes look for
-   pairs between different components that the sketches don't rule out; these are verified as well, the
-   likeliest first and more of them each round, until no bucket has an untried one left.
+4. Components of the links. In the buckets that still hold several components, sketches mark the classes
+   that might be linked with one of another component; blocks of their full sets are compared with each
+   other, and a spanning forest of the links found there joins components.
 
 Chance of missing a link of similarity 0.8 in all bands: (1 - 0.8 ** 3) ** 21 = 3e-7; by the likelihood
-test: 8e-6. Everything else is exact.
+test and the least number of equal registers: 1e-5. Everything else is exact.
 
 Results by case: a null, empty or wordless text has an empty set and is linked with nothing; a row without
 a doc_id is linked with nothing, has no component and is kept; rows of one doc_id with different texts
@@ -43,14 +43,14 @@ BASE, RATE, LIMIT = 1.001, 20.0, 65535
 #: Log-likelihood that the similarity asked for may lack against the likeliest one.
 DOUBT = 10.0
 #: Equal registers below which the likelihood test always rules out the similarity: of two sets of similarity 0.8
-#: so few are equal with probability 1e-8.
-FEW = 32
+#: fewer are equal with probability 1e-6.
+FEW = 34
 #: Members of a verification group that share a copy of their root's text.
 GROUP = 256
-#: Classes of a block of a bucket.
+#: Classes of a block of a bucket whose sketches are compared with another block's.
 BLOCK = 2048
-#: Pairs between two components in a bucket block that the first round tries; later rounds try four times as many.
-TRY = 512
+#: Classes of a block of a bucket whose full sets are compared with another block's.
+SETS = 512
 RESULT = ("n_shingles", "component_id", "kept")
 
 _draw = np.random.Generator(np.random.PCG64(7))
@@ -163,69 +163,128 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return stream.mapInArrow(run, "a long, b long")
 
 
-def _open_pairs(rows: DataFrame, percent: int, tries: int) -> DataFrame:
-    """From (key, size, id, component, n, sketch) of buckets: pairs (a, b) between components that sketches allow, and (null, null) if ``tries`` cut some off."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = rows.withColumn("blocks", blocks).withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "id", "component", "n", "sketch")
-    stream = dealt.repartition(partitions(rows.sparkSession), "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "id")
-
-    def pairs(group: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(group)
-        lo, hi, own, ids, comp, n = (t.column(i).to_numpy() for i in (1, 2, 3, 4, 5, 6))
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """The runs of equal values in the first ``keys`` columns of a sorted stream."""
+    now, group = None, []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        values = np.stack([b.column(i).to_numpy() for i in range(keys)])
+        cuts = np.flatnonzero((np.diff(values, axis=1) != 0).any(axis=0)) + 1
+        for x, y in zip([0, *cuts], [*cuts, b.num_rows], strict=True):
+            if (key := tuple(values[:, x])) != now and group:
+                yield pa.Table.from_batches(group)
+                group = []
+            now = key
+            group.append(b.slice(x, y - x))
+    if group:
+        yield pa.Table.from_batches(group)
+
+
+def _in_blocks(rows: DataFrame, block: int, *columns: str) -> DataFrame:
+    """A stream of (key, lo, hi, own, columns) sorted by its first three: every two blocks of a bucket (key, size) meet once."""
+    blocks = F.ceil(F.col("size") / block).cast("int")
+    dealt = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", *columns)
+    return dealt.repartition(partitions(rows.sparkSession), "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+
+
+def _needed(rows: DataFrame, percent: int) -> DataFrame:
+    """From (key, size, id, component, n, sketch) of buckets: (key, id) of classes that the sketches let pass with one of another component.
+
+    A pair counts in the first bucket that holds it. Nothing but members of such pairs is returned.
+    """
+    def mark(t: pa.Table) -> pa.RecordBatch | None:
+        lo, hi, own, ids, comp, n = (t.column(i).to_numpy() for i in range(1, 7))
         if len(ids) < 2 or (comp == comp[0]).all():
-            return
-        sketch = np.frombuffer(b"".join(t.column(7).to_pylist()), np.uint16).reshape(-1, REGISTERS)
-        same, band = [], int(t.column(0)[0].as_py()) >> 48
+            return None
+        band, sketch = int(t.column(0)[0].as_py()) >> 48, np.frombuffer(b"".join(t.column(7).to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        marked = np.zeros(len(ids), bool)
         for i in range(len(ids) - 1):
             j = np.arange(i + 1, len(ids))
             open_ = (comp[j] != comp[i]) & (np.minimum(n[j], n[i]) * 100 >= np.maximum(n[j], n[i]) * percent)
+            if marked[i]:
+                open_ &= ~marked[j]
             if lo[0] != hi[0]:
                 open_ &= own[j] != own[i]
             j = j[open_]
+            if not len(j):
+                continue
+            equal = sketch[j] == sketch[i]
+            near = equal.sum(axis=1) >= FEW
+            if band:
+                near &= ~equal[:, : band * ROWS].reshape(len(j), band, ROWS).all(axis=2).any(axis=1)
+            j = j[near]
             if len(j):
-                equal = sketch[j] == sketch[i]
-                near = equal.sum(axis=1) >= FEW
-                if band:  # a pair is tried in the first bucket that holds it
-                    near &= ~equal[:, : band * ROWS].reshape(len(j), band, ROWS).all(axis=2).any(axis=1)
-                same.append(np.stack([np.full(int(near.sum()), i), j[near]]))
-        i, j = np.concatenate(same, axis=1) if same else np.empty((2, 0), np.int64)
-        tried: dict[tuple[int, int], list] = {}
-        for at in range(0, len(i), 1 << 15):
-            x, y = i[at : at + (1 << 15)], j[at : at + (1 << 15)]
-            best, ok = likely(sketch[x], sketch[y], n[x], n[y], percent)
-            for u, v, e in zip(x[ok].tolist(), y[ok].tolist(), best[ok].tolist(), strict=True):
-                tried.setdefault((min(comp[u], comp[v]), max(comp[u], comp[v])), []).append((-e, int(min(ids[u], ids[v])), int(max(ids[u], ids[v]))))
-        a, b, cut = [], [], False
-        for found in tried.values():
-            cut |= len(found) > tries
-            for _, x, y in sorted(found)[:tries]:
-                a.append(x)
-                b.append(y)
-        if cut:
-            a.append(None)
-            b.append(None)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                _, ok = likely(np.broadcast_to(sketch[i], (len(j), REGISTERS)), sketch[j], np.full(len(j), n[i]), n[j], percent)
+                if ok.any():
+                    marked[i] = True
+                    marked[j[ok]] = True
+        return pa.RecordBatch.from_arrays([pa.array(t.column(0).to_numpy()[marked]), pa.array(ids[marked])], names=["key", "id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, group = None, []
+        for t in _groups(batches, 3):
+            if (found := mark(t)) is not None:
+                yield found
+
+    return _in_blocks(rows, BLOCK, "id", "component", "n", "sketch").mapInArrow(run, "key long, id long").distinct()
+
+
+def _exact_links(rows: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """From (key, id, component) of buckets: links (a, b) that join components of a bucket wherever full sets are similar enough.
+
+    The sets of two blocks are compared in full by products of their incidence matrices, some columns at a
+    time; of the links only a spanning forest goes on, at most one less than the components of the blocks.
+    """
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys = np.stack([b.column(i).to_numpy() for i in (0, 1, 2)])
-            cuts = np.flatnonzero((np.diff(keys, axis=1) != 0).any(axis=0)) + 1
-            for x, y in zip([0, *cuts], [*cuts, b.num_rows], strict=True):
-                if x == y:
-                    continue
-                key = tuple(keys[:, x])
-                if key != now and group:
-                    yield from pairs(group)
-                    group = []
-                now = key
-                group.append(b.slice(x, y - x))
-        if group:
-            yield from pairs(group)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in shingle_sets(as_bytes(b.column(1)), width)], pa.binary())], names=["id", "shingles"])
 
-    return stream.mapInArrow(run, "a long, b long")
+    sets = texts.join(rows.select("id").distinct(), "id", "left_semi").select("id", "text").mapInArrow(describe, "id long, shingles binary")
+    sized = rows.join(rows.groupBy("key").agg(F.count("*").alias("size")), "key")
+
+    def link(t: pa.Table) -> pa.RecordBatch | None:
+        lo, hi, own, ids, comp = (t.column(i).to_numpy() for i in range(1, 6))
+        if len(ids) < 2 or (comp == comp[0]).all():
+            return None
+        parts = [np.frombuffer(x, np.uint64) for x in t.column(6).to_pylist()]
+        n, row = np.array([len(p) for p in parts]), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        _, column, seen = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        shared = seen[column] > 1
+        order = np.argsort(column[shared], kind="stable")
+        column, row = column[shared][order], row[shared][order]
+        column = np.cumsum(np.diff(column, prepend=column[:1]) != 0) if len(column) else column
+        common = np.zeros((len(ids), len(ids)), np.float32)
+        width_ = max(1, (1 << 21) // len(ids))
+        for at in range(0, int(column[-1]) + 1 if len(column) else 0, width_):
+            x, y = np.searchsorted(column, (at, at + width_))
+            m = np.zeros((len(ids), width_), np.float32)
+            m[row[x:y], column[x:y] - at] = 1
+            common += m @ m.T
+        common = common.astype(np.int64)
+        hit = np.triu(100 * common >= percent * (n[:, None] + n[None, :] - common), 1) & (comp[:, None] != comp[None, :])
+        if lo[0] != hi[0]:
+            hit &= own[:, None] != own[None, :]
+        head = {c: c for c in comp.tolist()}
+        a, b = [], []
+        for i, j in zip(*(x.tolist() for x in np.nonzero(hit)), strict=True):
+            u, v = int(comp[i]), int(comp[j])
+            while head[u] != u:
+                head[u] = u = head[head[u]]
+            while head[v] != v:
+                head[v] = v = head[head[v]]
+            if u != v:
+                head[u] = v
+                a.append(int(ids[i]))
+                b.append(int(ids[j]))
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches, 3):
+            if (found := link(t)) is not None:
+                yield found
+
+    return _in_blocks(sized.join(sets, "id"), SETS, "id", "component", "shingles").mapInArrow(run, "a long, b long")
 
 
 def classes_and_components(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", width: int = WIDTH, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -243,22 +302,16 @@ def classes_and_components(docs: DataFrame, *, text: str = "text", doc_id: str =
     involved = in_buckets.select("id").distinct().join(classes.select("id", "doc", "digest"), "id")
     texts = written(_of_digest(narrow.join(involved, "doc").select("id", "digest", "text"), width).dropDuplicates(["id"]), "texts")
     links = written(_verified(candidates, texts, width, percent), "found")
-    tested, tries, edges = candidates, TRY, lambda: links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    edges = lambda: links.select(F.col("a").alias("u"), F.col("b").alias("v"))
     labels = components(edges())
-    while True:
-        labelled = written(in_buckets.join(labels, in_buckets["id"] == labels["node"], "left").select("key", "size", "id", F.coalesce("component", "id").alias("component")), "labelled")
-        still = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-        rows = labelled.join(still, "key").join(classes.select("id", "n", "sketch"), "id").select("key", "size", "id", "component", "n", "sketch")
-        found = written(_open_pairs(rows, percent, tries).distinct(), "open")
-        untried = written(found.where("a is not null").join(tested, ["a", "b"], "left_anti"), "pairs")
-        new = written(_verified(untried, texts, width, percent), "found")
-        tested = tested.unionAll(untried.select("a", "b"))
-        if new.limit(1).count():
-            links = links.unionAll(new)
-            labels = components(edges())
-        if not found.where("a is null").limit(1).count():
-            break
-        tries *= 4
+    labelled = written(in_buckets.join(labels, in_buckets["id"] == labels["node"], "left").select("key", "size", "id", F.coalesce("component", "id").alias("component")), "labelled")
+    still = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
+    rows = labelled.join(still, "key").join(classes.select("id", "n", "sketch"), "id").select("key", "size", "id", "component", "n", "sketch")
+    needed = written(_needed(rows, percent).join(labelled.select("key", "id", "component"), ["key", "id"]), "needed")
+    more = written(_exact_links(needed, texts, width, percent).distinct(), "found")
+    if more.limit(1).count():
+        links = links.unionAll(more)
+        labels = components(edges())
     named = classes.join(labels, classes["id"] == labels["node"], "left").select("digest", "doc", F.coalesce("component", "id").alias("label"))
     least = named.groupBy("label").agg(F.min("doc").alias("component"))
     return described.select("doc", "n", "digest"), named.join(least, "label").select("digest", "component")
