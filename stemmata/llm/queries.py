@@ -91,8 +91,7 @@ FROM parts p LEFT JOIN (SELECT * FROM hits WHERE k = 1) h ON p.page_id = h.page_
 
 
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars")
-    return mixing.mix(docs)
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text"))
 
 
 OP7_SQL = r"""
@@ -101,10 +100,10 @@ WITH RECURSIVE sizes AS (
 ), rates AS (
   SELECT source, 1.0::DOUBLE / (SELECT count(*)::DOUBLE FROM sizes) * (SELECT count(*)::DOUBLE FROM documents) / size AS rate FROM sizes
 ), terms AS (
-  SELECT doc_id, d.source, lang, n_chars, greatest(ceil(rate / 16.0), 1)::INT AS parts, rate / greatest(ceil(rate / 16.0), 1)::INT AS part
+  SELECT doc_id, d.source, lang, n_chars, text, greatest(ceil(rate / 16.0), 1)::INT AS parts, rate / greatest(ceil(rate / 16.0), 1)::INT AS part
   FROM documents d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source
 ), draws AS (
-  SELECT doc_id, source, lang, n_chars, part, i,
+  SELECT doc_id, source, lang, n_chars, text, part, i,
          ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':' || i), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u
   FROM (SELECT *, unnest(range(1, parts + 1)) AS i FROM terms)
 ), steps AS (
@@ -112,14 +111,14 @@ WITH RECURSIVE sizes AS (
   UNION ALL
   SELECT part, k + 1, p * part / (k + 1)::DOUBLE, c + p * part / (k + 1)::DOUBLE FROM steps WHERE k < 72
 ), counts AS (
-  SELECT d.doc_id, d.source, d.lang, d.n_chars, d.i, count(*) FILTER (WHERE s.k < 72 AND s.c <= d.u) AS n
+  SELECT d.doc_id, d.source, d.lang, d.n_chars, d.text, d.i, count(*) FILTER (WHERE s.k < 72 AND s.c <= d.u) AS n
   FROM draws d JOIN steps s ON d.part = s.part GROUP BY ALL
 ), copies AS (
-  SELECT doc_id, source, lang, n_chars, sum(n)::INT AS copies FROM counts GROUP BY ALL
+  SELECT doc_id, source, lang, n_chars, text, sum(n)::INT AS copies FROM counts GROUP BY ALL
 ), each AS (
   SELECT *, unnest(range(0, copies))::INT AS copy FROM copies WHERE copies > 0
 )
-SELECT doc_id, source, lang, n_chars, copy, copies, md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || '#' || copy) AS mix_key FROM each
+SELECT doc_id, source, lang, n_chars, text, copy, copies, md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || '#' || copy) AS mix_key FROM each
 """
 
 
