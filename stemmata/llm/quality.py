@@ -29,8 +29,8 @@ SAMPLE = 4000
 FEATURES, DIMENSIONS, NEIGHBOURS = 2048, 48, 25
 #: A neighbour of cosine c weighs exp(SHARPNESS * (c - 1)).
 SHARPNESS = 12.0
-#: Measures of form beside the trigrams.
-FORMS = 6
+#: Measures of form beside the trigrams, and their weight.
+FORMS, FORM_WEIGHT = 7, 2.0
 #: Documents of which cosines are held at once.
 BLOCK = 256
 
@@ -67,7 +67,9 @@ def features(data: bytes) -> np.ndarray:
     size, seen = len(data), counts > 0
     upper, lower, digit = bytes_[65:91].sum(), bytes_[97:123].sum() + bytes_[128:].sum(), bytes_[48:58].sum()
     white = bytes_[32] + bytes_[9:14].sum()
-    out[FEATURES:] = upper / size, digit / size, white / size, max(size - upper - lower - digit - white, 0) / size, seen.sum() / min(FEATURES, n), float((counts / n).max())
+    words = data.split()
+    again = sum(map(bytes.__eq__, words, words[1:])) / max(len(words) - 1, 1)
+    out[FEATURES:] = again, upper / size, digit / size, white / size, max(size - upper - lower - digit - white, 0) / size, seen.sum() / min(FEATURES, n), float((counts / n).max())
     return out
 
 
@@ -79,6 +81,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _weighted(x: np.ndarray, idf: np.ndarray) -> np.ndarray:
     y = x.copy()
     y[:, :FEATURES] *= idf
+    y[:, FEATURES:] *= FORM_WEIGHT
     return y
 
 

@@ -34,10 +34,10 @@ from .storage import written
 TRAIN_ROWS = 200_000
 #: Weighted tokens that are broadcast, at most; the most certain stay.
 MAX_TOKENS = 100_000
-#: Pseudo-documents of the Dirichlet prior.
-PRIOR = 20.0
-#: A token is weighted if its log-odds are so many standard errors from 0 ...
-Z = 3.0
+#: Pseudo-documents of the Dirichlet prior: some for each token, and some by the token's share of all documents.
+EACH, PRIOR = 0.5, 20.0
+#: A token is weighted if the signed root of its likelihood ratio is so far from 0 ...
+Z = 4.5
 #: ... and at least so many labelled documents of its class hold it.
 LEAST_DOCS = 4
 #: Expected chance segments a passage may have.
@@ -56,7 +56,7 @@ class Model:
     middle: float
 
     def score(self, evidence: float) -> float:
-        return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.slope * (evidence - self.middle)))))
+        return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.slope * (math.log1p(evidence) - self.middle)))))
 
 
 def tokens(text: str) -> list[str]:
@@ -66,12 +66,12 @@ def tokens(text: str) -> list[str]:
 def segments(weights: dict[str, float], words: list[str]) -> list[tuple[float, int, int]]:
     """All maximal scoring segments (score, first word, end) of a word list, in linear time.
 
-    Runs between weighted words add up to one gap, so the list of candidates only grows with weighted words.
+    A word that only repeats the one before it counts like one without a weight. Runs between weighted words add up to one gap, so the list of candidates only grows with weighted words.
     """
     found: list[tuple[float, float, int, int, int]] = []  # sum before, sum at the end, first, end, last one with a smaller sum before
     total, last = 0.0, 0
     for i, w in enumerate(map(weights.get, words)):
-        if w is None:
+        if w is None or (i and words[i] == words[i - 1]):
             continue
         total += DRIFT * (i - last)
         last = i + 1
@@ -120,18 +120,20 @@ def train(docs: DataFrame, labels: DataFrame, *, text: str = "text", label: str
     n1, n0 = known.where(fold != 0).agg(F.sum("y"), F.sum(1 - F.col("y"))).first()
     if not n1 or not n0:
         return Model({}, 1.0, 1.0, 1e6)
-    prior = PRIOR * F.col("n") / (n1 + n0)
+    prior = EACH + PRIOR * F.col("n") / (n1 + n0)
     odds = lambda c, n: F.log((c + prior) / (n + PRIOR))
-    weight = odds(F.col("bad"), n1) - odds(F.col("n") - F.col("bad"), n0)
-    error = F.sqrt(1 / (F.col("bad") + prior) + 1 / (F.col("n") - F.col("bad") + prior))
-    certain = each.select("token", weight.alias("w"), (F.abs(weight) / error).alias("z"), "bad", "n")
+    good = F.col("n") - F.col("bad")
+    weight = odds(F.col("bad"), n1) - odds(good, n0)
+    part = lambda c, share: F.when(c > 0, c * F.log(c / (F.col("n") * share))).otherwise(0.0)
+    root = F.sqrt(F.greatest(2 * (part(F.col("bad"), n1 / (n1 + n0)) + part(good, n0 / (n1 + n0))), F.lit(0.0)))
+    certain = each.select("token", weight.alias("w"), root.alias("z"), "bad", "n")
     certain = certain.where((F.col("z") >= Z) & ((F.col("w") < 0) | (F.col("bad") >= LEAST_DOCS)))
     picked = certain.orderBy(F.desc("z"), "token").limit(MAX_TOKENS).select("token", "w").collect()
     weights = {r.token: float(r.w) for r in picked}
     scanned = rows.where(fold == 0).mapInArrow(lambda it: _best(it, weights), "y int, n long, s array<double>").collect()
     clean = [(r.n, r.s) for r in scanned if r.y == 0]
     k = _fit_k(clean)
-    x = np.array([evidence(k, r.n, r.s) for r in scanned])
+    x = np.log1p([evidence(k, r.n, r.s) for r in scanned])
     y = np.array([r.y for r in scanned], float)
     slope, middle = _logistic(x, y)
     return Model(weights, k, slope, middle)

@@ -114,7 +114,7 @@ def best_segments(scores):
 @given(st.lists(st.sampled_from("abcx"), max_size=14))
 def test_segments_are_the_maximal_ones(words):
     weights = {"a": 2.003, "b": -1.307, "c": 0.709}
-    scores = [weights.get(w, toxicity.DRIFT) for w in words]
+    scores = [toxicity.DRIFT if i and w == words[i - 1] else weights.get(w, toxicity.DRIFT) for i, w in enumerate(words)]
     got = [(round(s, 6), i, j) for s, i, j in toxicity.segments(weights, words)]
     assert [g[0] for g in got] == [b[0] for b in best_segments(scores)]
 
