@@ -37,7 +37,7 @@ MAX_TOKENS = 100_000
 #: Pseudo-documents of the Dirichlet prior: some for each token, and some by the token's share of all documents.
 EACH, PRIOR = 0.5, 20.0
 #: A token is weighted if the signed root of its likelihood ratio is so far from 0 ...
-Z = 4.5
+Z = 5.5
 #: ... and at least so many labelled documents of its class hold it.
 LEAST_DOCS = 4
 #: Expected chance segments a passage may have.
