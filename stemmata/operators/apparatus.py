@@ -102,13 +102,15 @@ def passages(addresses: DataFrame, sections: DataFrame, key: list[str]) -> DataF
     return addresses.join(found, key, "left").withColumn("status", F.when(F.col("__there"), "available").otherwise("not_present")).drop("__there")
 
 
-def work_passages(addresses: DataFrame, versions: DataFrame, sections: DataFrame, *, work: str, version: str, address: list[str], bare: DataFrame | None = None) -> DataFrame:
-    """Each address of a work in each of its versions: available or not_present; versions without text are metadata_only.
+def work_passages(addresses: list[tuple], versions: DataFrame, sections: DataFrame, *, version: str, address: list[str], bare: DataFrame | None = None) -> DataFrame:
+    """Each address in each version: available or not_present; versions without text are metadata_only.
 
+    ``addresses``: the few that are asked for, as tuples in the order of the columns ``address``.
     ``bare``: the versions that have metadata only.
     """
     there = sections.select(version, *address).distinct().withColumn("__there", F.lit(True))
-    asked = versions.join(addresses, work) if work in addresses.columns else versions.join(F.broadcast(addresses))
+    places = F.array(*[F.struct(*[F.lit(x).cast(sections.schema[c].dataType).alias(c) for c, x in zip(address, a, strict=True)]) for a in addresses])
+    asked = versions.withColumn("__at", F.explode(places)).select(*versions.columns, *[F.col(f"__at.{c}").alias(c) for c in address])
     textual = asked if bare is None else asked.join(bare.select(version), version, "left_anti")
     out = textual.join(there, [version, *address], "left").withColumn("status", F.when(F.col("__there"), "available").otherwise("not_present")).drop("__there")
     if bare is not None:
@@ -116,9 +118,9 @@ def work_passages(addresses: DataFrame, versions: DataFrame, sections: DataFrame
     return out
 
 
-def undeclared(cited: DataFrame, declared: DataFrame, key: list[str]) -> DataFrame:
-    """Witnesses that are cited but not declared, once each, marked as such."""
-    return cited.select(*key).distinct().join(declared.select(*key).distinct(), key, "left_anti").withColumn("is_undeclared", F.lit(1))
+def undeclared(cited: DataFrame, declared: DataFrame, key: list[str], on: list[str] | None = None) -> DataFrame:
+    """Witnesses that are cited but not declared, once each, marked as such. ``on``: the part of the key that a declaration names."""
+    return cited.select(*key).distinct().join(declared.select(*(on or key)).distinct(), on or key, "left_anti").withColumn("is_undeclared", F.lit(1))
 
 
 def reading_tokens(tokens: DataFrame, readings: DataFrame, key: list[str]) -> DataFrame:

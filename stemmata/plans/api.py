@@ -96,9 +96,8 @@ class Apparatus:
     def work_passage(self, work: str, chapter: object, verse: object) -> DataFrame:
         """(version_id, title, language, author, status) of every version of a work, by version."""
         versions = exists(self.sources.where(F.col("work_id") == work), f"unknown work {work}")
-        asked = versions.sparkSession.createDataFrame([(str(chapter), str(verse))], "chapter string, verse string")
         bare = versions.where("is_metadata_only").select("version_id")
-        found = apparatus.work_passages(asked, versions.select("work_id", "version_id", "title", "language", "author"), self.t["unit_sections"], work="work_id", version="version_id", address=["chapter", "verse"], bare=bare)
+        found = apparatus.work_passages([(str(chapter), str(verse))], versions.select("version_id", "title", "language", "author"), self.t["unit_sections"], version="version_id", address=["chapter", "verse"], bare=bare)
         return found.select("version_id", "title", "language", "author", "status").orderBy("version_id")
 
     def neighbours(self, work: str, chapter: object, verse: object, preferred: Iterable[object] = ()) -> dict[str, object]:

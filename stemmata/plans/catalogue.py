@@ -41,8 +41,7 @@ def work_passage_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("work"), F.col("o_orderkey").alias("version"))
     sections_ = units(spark, sf_dir)
     bare = versions.join(sections_.select("version").distinct(), "version", "left_anti")
-    asked = spark.range(1).select(F.explode(F.array(*[F.lit(x).cast("long") for x in (1, 3, 7)])).alias("unit"))
-    return apparatus.work_passages(asked, versions, sections_, work="work", version="version", address=["unit"], bare=bare).select("work", "version", "unit", "status")
+    return apparatus.work_passages([(1,), (3,), (7,)], versions, sections_, version="version", address=["unit"], bare=bare).select("work", "version", "unit", "status")
 
 
 def witness_state_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,8 +162,8 @@ def nearest_nonempty_ancestor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def undeclared_witness_synthesis(spark: SparkSession, sf_dir: str) -> DataFrame:
     cited = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("version"), F.col("l_suppkey").alias("witness"))
-    declared = table(spark, sf_dir, "supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("witness"))
-    return apparatus.undeclared(cited, cited.select("version").distinct().join(F.broadcast(declared)), ["version", "witness"]).select("version", "witness", "is_undeclared")
+    declared = table(spark, sf_dir, "supplier").where("s_acctbal > 5000").select(F.col("s_suppkey").alias("witness"))
+    return apparatus.undeclared(cited, declared, ["version", "witness"], on=["witness"]).select("version", "witness", "is_undeclared")
 
 
 def version_ids_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,7 +197,7 @@ def default_version_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def default_witness_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("witness"), F.col("s_name").alias("name"), (F.col("s_acctbal") > 0).alias("declared"), F.when(F.col("s_nationkey") % 5 == 0, "Hide ").otherwise("yes").alias("show"))
+    supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("witness"), F.col("s_name").alias("name"), (F.col("s_acctbal") > 5000).alias("declared"), F.when(F.col("s_nationkey") % 5 == 0, "Hide ").otherwise("yes").alias("show"))
     rows = witnesses(spark, sf_dir).join(supplier, "witness")
     shown = apparatus.showable(F.col("declared"), F.col("show"))
     return apparatus.defaults(rows.withColumn("showable", shown), VERSION, F.col("showable"), ["name"], 4).select("version", F.col("choice").cast("long"), "witness", "showable")

@@ -71,7 +71,7 @@ SELECT p.r_name || '/' || p.n_name || '/' || p.c_custkey AS place, coalesce(c.a,
   CASE WHEN c.a IS NOT NULL THEN 3 WHEN n.a IS NOT NULL THEN 2 WHEN r.a IS NOT NULL THEN 1 ELSE 0 END::BIGINT AS anchor_level
 FROM p LEFT JOIN c ON c.c_custkey = p.c_custkey LEFT JOIN n ON n.n_name = p.n_name LEFT JOIN r ON r.r_name = p.r_name""",
     "undeclared_witness_synthesis": """
-SELECT DISTINCT l_returnflag AS version, l_suppkey AS witness, 1 AS is_undeclared FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)""",
+SELECT DISTINCT l_returnflag AS version, l_suppkey AS witness, 1 AS is_undeclared FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 5000)""",
     "version_ids_slug": """
 WITH s AS (SELECT p_partkey, p_brand, p_brand || '__' || trim(regexp_replace(p_name, '[^A-Za-z0-9]+', '_', 'g'), '_') AS base FROM part),
 k AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY p_partkey) AS k, count(*) OVER (PARTITION BY p_brand) AS n FROM s)
@@ -87,7 +87,7 @@ SELECT c_nationkey, year, context_version, previous, next FROM f WHERE k = 1""",
 WITH r AS (SELECT c_nationkey, c_custkey, c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P') AS available FROM customer)
 SELECT * FROM (SELECT c_nationkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY NOT available, c_custkey) AS choice, c_custkey, available FROM r) WHERE choice <= 2""",
     "default_witness_selection": f"""
-WITH r AS (SELECT w.version, w.witness, s_name, s_acctbal > 0 AND s_nationkey % 5 <> 0 AS showable FROM ({WITNESSES}) w JOIN supplier ON s_suppkey = w.witness)
+WITH r AS (SELECT w.version, w.witness, s_name, s_acctbal > 5000 AND s_nationkey % 5 <> 0 AS showable FROM ({WITNESSES}) w JOIN supplier ON s_suppkey = w.witness)
 SELECT * FROM (SELECT version, row_number() OVER (PARTITION BY version ORDER BY NOT showable, s_name) AS choice, witness, showable FROM r) WHERE choice <= 4""",
     "explicit_selection_order": """
 SELECT p.i AS position, s_suppkey, s_name FROM supplier JOIN (VALUES (1::BIGINT, 7), (2, 3), (3, 1), (4, 9)) p(i, k) ON s_suppkey = p.k""",
