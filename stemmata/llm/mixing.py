@@ -63,7 +63,8 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None, *, source: s
     if weights is None:
         sizes = sizes.withColumn("weight", F.lit(1.0))
     else:
-        given = docs.sparkSession.createDataFrame([(s, float(w)) for s, w in weights.items()], "w_source string, weight double")
+        pairs = F.array(*[F.struct(F.lit(s).cast("string").alias("w_source"), F.lit(float(w)).alias("weight")) for s, w in weights.items()]).cast("array<struct<w_source: string, weight: double>>")
+        given = docs.sparkSession.range(1).select(F.inline(pairs))
         sizes = sizes.join(F.broadcast(given), F.col("__source").cast("string").eqNullSafe(F.col("w_source")), "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
     totals = sizes.agg(F.sum("size").alias("total"), F.sum("weight").alias("weights"))
     rate = F.when((F.col("size") > 0) & (F.col("weights") > 0), F.col("weight") / F.col("weights") * F.col("total") / F.col("size")).otherwise(0.0)
