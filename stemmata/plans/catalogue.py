@@ -305,8 +305,8 @@ def metadata_scalar_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def work_chooser_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sources as works, with the language as title if all their long documents agree on it."""
-    return catalog.work_labels(table(spark, sf_dir, "documents").where("n_chars >= 20000"), "source", "lang")
+    """Sources as works, with the language as title if all their documents agree on it."""
+    return catalog.work_labels(table(spark, sf_dir, "documents"), "source", "lang")
 
 
 # --- audits ---------------------------------------------------------------------------------
