@@ -21,7 +21,7 @@ def convert(spark, source: str, output: str, report: str | None) -> int:
     files = xml.files(spark, source)
     built = edition.build(xml.read_editions(spark, source))
     parity = edition.source_parity(built, recount.inventory(files))
-    checks = edition.checks(built).unionByName(parity.where("not ok").agg(F.count("*").alias("n_broken")).select(F.lit("source_parity").alias("check"), "n_broken", (F.col("n_broken") == 0).alias("ok"))).persist()
+    checks = edition.checks(built).unionByName(parity.where("not ok").agg(F.count("*").alias("n_broken")).select(F.lit("source_parity").alias("check"), "n_broken", (F.col("n_broken") == 0).alias("ok"))).unionByName(edition.record_parity(built, recount.records(files))).persist()
     where = dataset.report_path(report or f"{output}.report.json", output)
     result = dataset.report(checks, parity.groupBy("item").agg(F.sum("n_edition")), where, upstream_commit=git_commit(source), upstream_clean=git_clean(source))
     if result["failed_checks"]:

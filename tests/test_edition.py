@@ -70,6 +70,41 @@ def test_checks_pass_and_notice_damage(spark, built, folder):
         dataset.write({}, "/tmp/never", checks=bad)
 
 
+def test_records_are_those_of_the_files(spark, built, folder):
+    found = recount.records(xml.files(spark, folder)).persist()
+    assert {r.kind for r in found.select("kind").distinct().collect()} | {"missing_unit_ids"} == set(recount.KINDS)
+    good = edition.record_parity(built, found)
+    assert good.where("not ok").collect() == [] and good.count() == len(recount.KINDS)
+    change = lambda column, old, new: lambda d: d.withColumn(column, F.when(F.col(column) == old, new).otherwise(F.col(column)))
+    own = {
+        "readings": ("reading_payloads", change("text", "delta", "delto")),
+        "manuscripts": ("manuscripts", change("name", "Papyrus1", "Papyrus")),
+        "words": ("annotated_words", change("lex", "be", "he")),
+        "division_specs": ("division_specs", change("label", "Verse", "Line")),
+        "divs": ("divisions", change("number", "3", "4")),
+        "resources": ("resources", change("url", "http://x.org", "")),
+        "ellipses": ("ellipses", change("text", "...", "..")),
+        "orphan_readings": ("orphan_readings", change("text", "stray", "strays")),
+        "versions": ("versions", change("author", "Ed.", "Eds.")),
+        "unit_alignment": ("generated_translations", lambda d: d.where("translation_unit <> 3")),
+        "works": ("source_hashes", lambda d: d.withColumn("source_sha256", F.lit("0"))),
+    }
+    units = {
+        "reading_witness": ("reading_payloads", change("witness", "Q", "P")),
+        "units": ("units", lambda d: d.withColumn("path", F.reverse("path")).withColumn("is_missing_unit_id", F.lit(1))),
+    }
+    for damage, more in ((own, set()), (units, {"missing_unit_ids"})):
+        bad = edition.record_parity(edition.Edition(built.tables | {t: f(built[t]) for t, (_, f) in damage.items()}, built.warnings), found).where("not ok").collect()
+        assert {r.check for r in bad} == {k for k, _ in damage.values()} | more
+
+
+def test_odd_text_reads_alike_twice():
+    odd = samples.MODERN.replace("alpha <w", "a&amp;b\u2003&lt;\u200b <w").replace('morph="N"', 'morph="a&quot;b&lt;"').encode()
+    first, (work, second) = xml.parse(odd, "Alpha.xml"), recount.read(odd)
+    mine = sorted((r["version"], r["unit"], r["text"], r["xml"]) for r in first["readings"] if not r["is_orphan"])
+    assert work == "Alpha" and mine == sorted((int(r[0]), int(r[1]), r[8], r[9]) for kind, r in second if kind == "reading_payloads")
+
+
 def test_warnings_and_nodes(built):
     assert {r.warning for r in built.warnings.collect()} == {"undeclared witness Z", "repeated section 1:2", "no option 0 in unit 0", "no option 0 in unit 1"}
     nodes = edition.nodes(built)
