@@ -3,31 +3,64 @@
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .operators import catalog
 from .plans import api, edition
 from .session import session
-from .sinks import dataset, page
-from .sources import recount, tei, xml
+from .sinks import dataset, page, provenance
+from .sources import recount, side, tei, xml
 from .sources.dataset import check_folder, git_clean, git_commit, load_all
 
 TABLES = ("works", "versions", "units", "readings", "words", "variant_words", "sections", "unit_sections", "manuscripts", "reading_witness", "unit_alignment")
 
 
-def convert(spark, source: str, output: str, report: str | None) -> int:
+def side_tables(spark, files: DataFrame, slots: DataFrame, intros: str | None, classifications: str | None, claims: dict[str, str]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Tables of the side data and of where the sources come from, and their checks. ``files``: (path); ``slots``: (work_id, slot)."""
+    tables = {"provenance": spark.createDataFrame(sorted(claims.items()), "key string, value string")}
+    results = {"corpus_license_provenance": provenance.consistent({r.key: r.value for r in tables["provenance"].collect()}, provenance.LOOKED_UP)}
+    if classifications and not intros:
+        raise ValueError("classifications need the documents of intros.json")
+    if intros:
+        values = side.metadata(spark, intros, files.select(F.col("path").alias("file")))
+        documents = values.select("document", "source_sha256").distinct().withColumn("work_id", catalog.without_xml_suffix(F.col("document")))
+        tables["metadata_values"] = values
+        tables["document_metadata"] = catalog.attach_metadata(documents, slots, "work_id")
+        results |= recount.metadata_checks(tables, recount.raw(spark, intros))
+    if classifications:
+        read = side.classifications(spark, classifications)
+        known = catalog.known_works(read["documents"], tables["document_metadata"], "work_id")
+        tables["classifications"] = known
+        for kind, ids in (("genres", "genre_ids"), ("biblical_figures", "figure_ids")):
+            labels = catalog.labels_of(known.select("work_id", F.col(ids).alias("ids")), read[kind], "work_id").groupBy("work_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("position", "label"))), lambda x: x["label"]).alias(kind))
+            tables["classifications"] = tables["classifications"].join(labels, "work_id", "left").withColumn(kind, F.coalesce(kind, F.array().cast("array<string>")))
+        tables["classification_vocabulary"] = read["genres"].withColumn("kind", F.lit("genres")).unionByName(read["biblical_figures"].withColumn("kind", F.lit("biblical_figures")))
+        tables["classification_source"] = read["source"]
+        results |= recount.classification_checks(tables, recount.raw(spark, classifications))
+    return tables, spark.createDataFrame([(k, int(not ok), ok) for k, ok in results.items()], "check string, n_broken long, ok boolean")
+
+
+def convert(spark, source: str, output: str, report: str | None, classifications: str | None = None, commit: str | None = None) -> int:
     check_folder(source, reviewed_files=(".TJob.xml.un~", "grammateus.dtd", "tags"))
     files = xml.files(spark, source)
     built = edition.build(xml.read_editions(spark, source))
     parity = edition.source_parity(built, recount.inventory(files))
-    checks = edition.checks(built).unionByName(parity.where("not ok").agg(F.count("*").alias("n_broken")).select(F.lit("source_parity").alias("check"), "n_broken", (F.col("n_broken") == 0).alias("ok"))).unionByName(edition.record_parity(built, recount.records(files))).persist()
+    detected, clean = git_commit(source), git_clean(source)
+    claims = provenance.describe(provenance.REPOSITORY, commit or detected or "", provenance.LOOKED_UP, detected=detected, clean=clean)
+    intros = os.path.join(source, "intros.json")
+    slots = built["words"].select("version_id", "slot").join(built["versions"].select("version_id", "work_id"), "version_id")
+    more, side_checks = side_tables(spark, files, slots, intros if os.path.isfile(intros) else None, classifications, claims)
+    checks = edition.checks(built).unionByName(parity.where("not ok").agg(F.count("*").alias("n_broken")).select(F.lit("source_parity").alias("check"), "n_broken", (F.col("n_broken") == 0).alias("ok"))).unionByName(edition.record_parity(built, recount.records(files))).unionByName(side_checks).persist()
     where = dataset.report_path(report or f"{output}.report.json", output)
-    result = dataset.report(checks, parity.groupBy("item").agg(F.sum("n_edition")), where, upstream_commit=git_commit(source), upstream_clean=git_clean(source))
+    result = dataset.report(checks, parity.groupBy("item").agg(F.sum("n_edition")), where, upstream_commit=detected, upstream_clean=clean, provenance=claims)
     if result["failed_checks"]:
         print("failed: " + ", ".join(result["failed_checks"]), file=sys.stderr)
         return 1
-    dataset.write(built.tables, output, checks=checks)
+    dataset.write(built.tables | more, output, checks=checks)
     return 0
 
 
@@ -38,6 +71,8 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("source")
     c.add_argument("--output", required=True)
     c.add_argument("--report")
+    c.add_argument("--classifications", help="a JSON file of genres and figures of works; needs intros.json in the source folder")
+    c.add_argument("--upstream-commit")
     b = commands.add_parser("compare")
     b.add_argument("dataset")
     for name in ("work", "chapter", "verse"):
@@ -50,7 +85,7 @@ def main(argv: list[str] | None = None) -> int:
     a = parser.parse_args(argv)
     spark = session()
     if a.command == "convert":
-        return convert(spark, a.source, a.output, a.report)
+        return convert(spark, a.source, a.output, a.report, a.classifications, a.upstream_commit)
     tables = load_all(spark, a.dataset, TABLES)
     if a.command == "compare":
         around = api.Apparatus(tables).neighbours(a.work, a.chapter, a.verse)

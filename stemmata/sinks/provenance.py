@@ -22,6 +22,16 @@ class Terms:
 
 
 Known = Mapping[tuple[str, str], Terms]
+# The published sources, and the terms of the commit for which they were looked up.
+REPOSITORY = "https://github.com/OnlineCriticalPseudepigrapha/Online-Critical-Pseudepigrapha"
+COMMIT = "c939dcbacad78c5d18d2c4282cad23c47e19ac07"
+LOOKED_UP: Known = {
+    (REPOSITORY, COMMIT): Terms(
+        "CC-BY-4.0", "https://creativecommons.org/licenses/by/4.0/", f"{REPOSITORY}/blob/{COMMIT}/LICENSE.CC-BY-4.0", "OCP text editions and TEI XML files under static/docs/",
+        "Online Critical Pseudepigrapha (OCP) and the individual editor named in each document's header/public metadata.",
+        "Ian W. Scott and Ken M. Penner, eds. The Online Critical Pseudepigrapha. Atlanta: Society of Biblical Literature / Online: pseudepigrapha.org.",
+    )
+}
 
 
 def describe(repository: str, commit: str, known: Known, *, detected: str | None = None, clean: bool = False) -> dict[str, str]:

@@ -70,8 +70,9 @@ def metadata(spark: SparkSession, path: str, works: DataFrame | None = None) ->
 
 
 def classifications(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """genres and biblical_figures (id, label), documents (work_id, historical_doc_id, genre_ids, figure_ids)."""
-    top = _keys(strict_json(_bytes(spark, path)), "classification", CLASSIFICATION_KEYS)
+    """genres and biblical_figures (id, label), documents (work_id, historical_doc_id, genre_ids, figure_ids), source (key, value, source_sha256)."""
+    data = _bytes(spark, path)
+    top = _keys(strict_json(data), "classification", CLASSIFICATION_KEYS)
     source = top["source"]
     if not isinstance(source, dict) or len(source) != SOURCE_KEYS:
         raise ValueError(f"classification: source has {SOURCE_KEYS} texts")
@@ -103,7 +104,11 @@ def classifications(spark: SparkSession, path: str) -> dict[str, DataFrame]:
         if len({d[k] for d in documents}) != len(documents):
             raise ValueError(f"documents: a {what} is repeated")
     table: Callable = lambda rows: spark.createDataFrame(sorted(rows.items()), "id int, label string")
-    return {"genres": table(genres), "biblical_figures": table(figures), "documents": spark.createDataFrame(documents, "work_id string, historical_doc_id int, genre_ids array<int>, figure_ids array<int>")}
+    return {
+        "genres": table(genres), "biblical_figures": table(figures),
+        "documents": spark.createDataFrame(documents, "work_id string, historical_doc_id int, genre_ids array<int>, figure_ids array<int>"),
+        "source": spark.createDataFrame(sorted(source.items()), "key string, value string").withColumn("source_sha256", F.lit(hashlib.sha256(data).hexdigest())),
+    }
 
 
 def _list(value: object, where: str) -> list:

@@ -5,6 +5,7 @@ import pytest
 import samples
 from conftest import rows
 from pyspark.sql import functions as F
+from stemmata import cli
 from stemmata.operators import audit
 from stemmata.plans import api, edition
 from stemmata.sinks import dataset, page, provenance, release
@@ -188,6 +189,26 @@ def test_side_sources(spark, tmp_path):
             side.classifications(spark, str(path))
 
 
+def test_side_data_is_attached_and_checked(spark, tmp_path):
+    intros, kinds = tmp_path / "intros.json", tmp_path / "c.json"
+    intros.write_text(json.dumps({"documents": {"Alpha.xml": {"title": "T", "version": 1.0, "author": None, "fields": {"status": "é"}}, "Void.xml": {"title": "V", "version": 2, "fields": {}}}}))
+    kinds.write_text(json.dumps({"source": {str(i): "x" for i in range(6)}, "genres": [{"id": 1, "label": "g"}, {"id": 2, "label": "h"}, {"id": 3, "label": "unused"}], "biblical_figures": [], "documents": [{"historical_doc_id": 7, "work_id": "Alpha", "genre_ids": [2, 1], "biblical_figure_ids": []}]}))
+    files, slots = spark.createDataFrame([("/x/Alpha.xml",), ("/x/Void.xml",)], "path string"), spark.createDataFrame([("Alpha", 4), ("Beta", 1)], "work_id string, slot int")
+    claims = provenance.describe(provenance.REPOSITORY, provenance.COMMIT, provenance.LOOKED_UP, detected=provenance.COMMIT, clean=True)
+    tables, checks = cli.side_tables(spark, files, slots, str(intros), str(kinds), claims)
+    assert checks.where("ok").count() == checks.count() == 8
+    assert rows(tables["document_metadata"].select("work_id", "slot")) == [("Alpha", 4), ("Void", 1)]
+    assert rows(tables["classifications"].select("work_id", "historical_doc_id", "genres", "biblical_figures")) == [("Alpha", 7, ["h", "g"], [])]
+    bad = tables | {"metadata_values": tables["metadata_values"].where("field <> 'author'"), "document_metadata": tables["document_metadata"].limit(1), "classification_vocabulary": tables["classification_vocabulary"].where("id <> 3"), "classifications": tables["classifications"].withColumn("genres", F.reverse("genres"))}
+    found = recount.metadata_checks(bad, intros.read_bytes()) | recount.classification_checks(bad, kinds.read_bytes())
+    assert {k for k, ok in found.items() if not ok} == {"public_metadata_documents", "public_metadata_values", "historical_classification_values", "historical_classification_vocabulary"}
+    assert cli.side_tables(spark, files, slots, None, None, {**claims, "licence": "other"})[1].where("not ok").count() == 1
+    with pytest.raises(ValueError):
+        cli.side_tables(spark, files.limit(1), slots, str(intros), None, claims)
+    with pytest.raises(ValueError, match="intros"):
+        cli.side_tables(spark, files, slots, None, str(kinds), claims)
+
+
 def test_install_is_all_or_nothing(spark, tmp_path):
     target = str(tmp_path / "d")
     dataset.write({"a": spark.range(3)}, target)
