@@ -3,8 +3,9 @@
 Documents are tokenised and cut; the histogram of piece lengths (at most ``capacity`` numbers, whatever
 the corpus' size) goes to the driver. There the linear program over configurations, the ways to fill a
 sequence, is solved by multiplicative weights: lengths hold prices, a knapsack dynamic program finds the
-configuration of most price, its lengths lose price, and so on. The mean of the configurations is
-rounded down, and best fit places what is left. The plan has runs: pieces of a length, by rank, go to a
+configuration of most price, its lengths lose price, and so on. Room that the number of pieces leaves in a
+configuration goes to the largest pieces that fit. Configurations that fill a sequence are taken, whole times,
+until none is found any more: what they hold is at the bound, and best fit places what is left. The plan has runs: pieces of a length, by rank, go to a
 run of sequences at a slot. Ranks are counted in buckets with an offset from each, so that no task sees
 all pieces of a length.
 
@@ -31,9 +32,9 @@ from .storage import partitions, written
 
 CAPACITY = 1024
 END = 2
-#: Rounds of multiplicative weights, at most, and the step of the prices.
-ROUNDS = 600
-STEP = 0.25
+#: The program ends when so many rounds on end have found no configuration that fills a sequence; and the step of the prices.
+MISSES = 20
+STEP = 1.0
 #: Pieces of a bucket in which ranks are counted, about.
 BUCKET = 100_000
 
@@ -140,7 +141,7 @@ def best_configuration(prices: np.ndarray, capacity: int, most: np.ndarray) -> d
     return {k: v for k, v in out.items() if v}
 
 
-def solve(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
+def solve(histogram: dict[int, int], capacity: int, rounds: int | None = None) -> list[tuple[dict[int, int], int]]:
     """(configuration, times) that hold every piece of the histogram exactly once, in few sequences."""
     left = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
@@ -154,31 +155,29 @@ def solve(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> lis
     kinds = np.flatnonzero(left)
     if not len(kinds):
         return [(dict(k), v) for k, v in plan.items()]
-    # Multiplicative weights: covered[l] / need[l] is evened out; a configuration's weight is the mean of its rounds.
+    # Multiplicative weights: a length loses price by the share of its need that is placed. A configuration is taken
+    # as often as the scarcest of its lengths lasts if it fills its sequences; one that doesn't only costs price.
     log_price = np.full(capacity + 1, -np.inf)
     log_price[kinds] = np.log(kinds / capacity)
-    covered, used = np.zeros(capacity + 1), defaultdict(float)
-    for _ in range(min(rounds, max(200, 2 * int(left.sum())))):
+    done = missed = 0
+    while missed < MISSES and len(live := np.flatnonzero(left)) and (rounds is None or done < rounds):
+        done += 1
         prices = np.zeros(capacity + 1)
-        prices[kinds] = np.exp(log_price[kinds] - log_price[kinds].max())
+        prices[live] = np.exp(log_price[live] - log_price[live].max())
         config = best_configuration(prices, capacity, left)
-        if not config:
-            break
-        # as often as the scarcest of its lengths allows, in small steps
-        times = max(1.0, STEP * min(need[k] / v for k, v in config.items()))
-        used[tuple(sorted(config.items()))] += times
+        room = capacity - sum(k * v for k, v in config.items())
+        for k in map(int, live[::-1]):
+            if k <= room and (more := min(room // k, int(left[k]) - config.get(k, 0))) > 0:
+                config[k] = config.get(k, 0) + more
+                room -= k * more
+        times = min(int(left[k]) // v for k, v in config.items())
         for k, v in config.items():
-            covered[k] += v * times
-            log_price[k] -= STEP * v * times / need[k] * 4
-        if (covered[kinds] >= need[kinds]).all():
-            break
-    over = max((covered[k] / need[k] for k in kinds), default=1.0)
-    for config, times in sorted(used.items(), key=lambda x: -x[1]):
-        whole = min(int(times / max(over, 1.0)), min(int(left[k]) // v for k, v in config))
-        if whole > 0:
-            plan_add(dict(config), whole)
-            for k, v in config:
-                left[k] -= v * whole
+            log_price[k] -= STEP * v * times / need[k]
+        missed = missed + 1 if room else 0
+        if not room:
+            plan_add(config, times)
+            for k, v in config.items():
+                left[k] -= v * times
     for config, times in _greedy(left, capacity):
         plan_add(config, times)
     return [(dict(k), v) for k, v in sorted(plan.items())]
@@ -232,7 +231,7 @@ def layout(plan: list[tuple[dict[int, int], int]]) -> list[Run]:
     return runs
 
 
-def place(table: DataFrame, *, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
+def place(table: DataFrame, *, capacity: int = CAPACITY, rounds: int | None = None) -> DataFrame:
     """``table`` (a stored table of pieces with doc_id, piece and length) with sequence_id and offset."""
     sizes = table.groupBy("length").count().collect()  # at most capacity rows
     histogram = {int(r["length"]): int(r["count"]) for r in sizes}

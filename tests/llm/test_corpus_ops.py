@@ -195,6 +195,15 @@ def test_plans_hold_each_piece_once(seed):
     assert sum(map(len, spots.values())) == sum(k * v for k, v in h.items())
 
 
+@pytest.mark.parametrize(("n", "share"), [(300, 0.1), (1500, 0.3), (15000, 0.5)])
+def test_the_program_packs_a_share_at_every_size(n, share, monkeypatch):
+    h = Counter(np.random.default_rng(n).integers(1, 1025, n).tolist())
+    rest, greedy = [], packing._greedy
+    monkeypatch.setattr(packing, "_greedy", lambda *a: (rest.append(x[1]) or x for x in greedy(*a)))
+    total, bound = sum(times for _, times in packing.solve(dict(h), 1024)), -(-sum(k * v for k, v in h.items()) // 1024)
+    assert total - sum(rest) > share * total and bound <= total <= 1.08 * bound
+
+
 def test_knapsack_finds_the_best_price():
     rng = np.random.default_rng(3)
     for _ in range(20):
