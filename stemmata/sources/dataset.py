@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import os
 import re
 import subprocess
 import zipfile
 from collections.abc import Iterable
+from xml.etree import ElementTree as ET
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,9 +82,29 @@ def archive_members(path: str, suffix: str = "") -> list[tuple[str, int, str]]:
     return found
 
 
+def _root(data: bytes) -> tuple[str | None, list[str]]:
+    """The root's name without its namespace (null if there is none), and of a TEI file its licences as ``target text``."""
+    root, found = None, []
+    try:
+        for event, e in ET.iterparse(io.BytesIO(data), events=("start", "end")):
+            name = e.tag.rsplit("}", 1)[-1]
+            if root is None:
+                root = name
+            if root != "TEI":
+                break
+            if event == "end" and name in ("licence", "license"):
+                found.append(" ".join([*filter(None, [e.get("target")]), *"".join(e.itertext()).split()]))
+    except ET.ParseError:
+        pass
+    return root, found
+
+
 def evidence(spark: SparkSession, folder: str) -> DataFrame:
-    """(kind, n, n_bytes) of the files below a folder, by what they are evidence of."""
+    """(kind, n, n_bytes, licences) of the files below a folder, by what they are evidence of; licences as TEI files declare them."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     name = F.lower(F.element_at(F.split("path", "/"), -1))
-    kind = F.when(name.rlike("licen[cs]e|copying"), "licence").when(name.rlike(r"readme|notice|contributing"), "notice").when(name.endswith(".xml") & F.decode(F.substring("content", 1, 4096), "utf-8").contains("<TEI"), "tei").when(name.endswith(".xml"), "edition").when(name.endswith(".json"), "metadata").otherwise("other")
-    return files.select(kind.alias("kind"), "length").groupBy("kind").agg(F.count("*").alias("n"), F.sum("length").alias("n_bytes"))
+    roots = F.udf(_root, "root string, licences array<string>")
+    read = files.withColumn("x", F.when(name.endswith(".xml"), roots("content")))
+    kind = F.when(name.rlike("licen[cs]e|copying"), "licence").when(name.rlike(r"readme|notice|contributing"), "notice").when(F.col("x.root") == "TEI", "tei").when(name.endswith(".xml"), "edition").when(name.endswith(".json"), "metadata").otherwise("other")
+    rows = read.select(kind.alias("kind"), "length", F.col("x.licences").alias("own"))
+    return rows.groupBy("kind").agg(F.count("*").alias("n"), F.sum("length").alias("n_bytes"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("own")))).alias("licences"))
