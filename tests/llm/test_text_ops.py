@@ -151,6 +151,58 @@ def test_toxicity_on_held_out_rows(spark):
         assert toxicity.score(docs, none).agg(F.max("score")).first()[0] < 0.01
 
 
+def test_words_share_the_evidence_of_their_beginning(spark):
+    rng = np.random.default_rng(8)
+    ends = ["".join(rng.choice(list("abcdefgh"), 4)) for _ in range(400)]
+    rows = []
+    for d in range(600):
+        words = list(rng.choice([f"w{i}" for i in range(300)], 30)) + ([f"vilex{rng.choice(ends)}"] if d % 5 == 0 else [])
+        rows.append((d, " ".join(rng.permutation(words))))
+    labels = spark.createDataFrame([(d, int(d % 5 == 0)) for d in range(600)], "doc_id long, toxic int")
+    model = toxicity.train(documents(spark, rows), labels)
+    assert model.weights["vilex*"] > 2 and toxicity.Lookup(model.weights)["vilexnever"] == model.weights["vilex*"]
+    got = toxicity.score(documents(spark, [(1, "w1 w2 vilexnever w3"), (2, "w1 w2 never w3")]), model).orderBy("doc_id").collect()
+    assert got[0].score > 0.7 > got[1].score
+
+
+def test_copies_teach_once(spark):
+    docs, labels = labelled(spark, 200)
+    copies = [(10000 + i, "once upon a time there was a strange beast") for i in range(60)]
+    marks = spark.createDataFrame([(d, 1, 1) for d, _ in copies], labels.schema)
+    both = docs.unionByName(documents(spark, copies)), labels.unionByName(marks)
+    assert not {"strange", "beast", "once", "upon"} & set(toxicity.train(*both).weights)
+    assert toxicity.train(docs, labels).weights == toxicity.train(docs.unionByName(docs), labels).weights
+
+
+def test_choice_of_words_is_that_of_the_rule(spark):
+    """Against the rule by hand: the least g that all chosen reach, by exact tails where all contexts are toxic."""
+    rng = np.random.default_rng(2)
+    rows = [(f"n{i}", int(b), n, 0.1) for i, (b, n) in enumerate((rng.binomial(n, 0.1), n) for n in map(int, rng.integers(3, 60, 500)))] + [(f"t{n}", n, n, 0.1) for n in range(3, 30)] + [("rare", 2, 2, 0.1)]
+    got = {r.node for r in toxicity._unlike(spark.createDataFrame(rows, "node string, bad long, n long, p double"))}
+
+    def tail(bad, n):  # the greater tail, exactly
+        from math import comb
+
+        return sum(comb(n, k) * 0.1**k * 0.9 ** (n - k) for k in range(bad, n + 1))
+
+    exact = sorted((tail(b, n), node) for node, b, n, _ in rows if n >= toxicity.LEAST and b > 0.1 * n)
+    m = len([r for r in rows if r[2] >= toxicity.LEAST])
+    strict = {node for i, (p, node) in enumerate(exact, 1) if p <= toxicity.FALSE / 16 * i / m}
+    assert strict <= got and "rare" not in got
+    assert sum(node.startswith("n") for node in got) <= 3 and {f"t{n}" for n in range(6, 30)} <= got
+
+
+def test_toxicity_of_edge_rows(spark):
+    docs, labels = labelled(spark, 200)
+    model = toxicity.train(docs, labels.unionByName(labels))
+    assert toxicity.score(docs.where("false"), model).count() == 0
+    assert toxicity.train(docs.where("false"), labels).weights == {}
+    clash = docs.selectExpr("doc_id", "text", "'mine' as score", "1 as passages", "'x' as other")
+    got = toxicity.score(clash.unionByName(clash), model)
+    assert got.columns == ["doc_id", "text", "other", "score", "n_passages", "passages"] and got.count() == 400
+    assert got.groupBy("doc_id").agg(F.countDistinct("score").alias("k")).where("k <> 1").count() == 0
+
+
 def test_labels_of_held_out_rows_do_not_matter(spark):
     docs, labels = labelled(spark, 150)
     held = toxicity.held_out(F.col("doc_id"), 3, 1)
