@@ -2,10 +2,14 @@
 
 Documents are tokenised and cut; the histogram of piece lengths (at most ``capacity`` numbers, whatever
 the corpus' size) goes to the driver. There the linear program over configurations, the ways to fill a
-sequence, is solved by multiplicative weights: lengths hold prices, a knapsack dynamic program finds the
-configuration of most price, its lengths lose price, and so on. Room that the number of pieces leaves in a
-configuration goes to the largest pieces that fit. Configurations that fill a sequence are taken, whole times,
-until none is found any more: what they hold is at the bound, and best fit places what is left. The plan has runs: pieces of a length, by rank, go to a
+sequence, is solved slice by slice: a slice is a share of every length's need. Lengths hold prices that grow
+by the exponential of the part of their need that is not yet placed (multiplicative weights). A knapsack
+dynamic program prices all capacities at once, so each round finds for every length the best configuration
+that holds it; those within the room that the bound leaves (none, where full sequences may suffice) or that
+no piece fits are taken as often as the slice lasts. The knapsack's value also certifies the bound: no plan has
+fewer sequences than the prices of all pieces over the price of the best configuration.
+Rounding: the program's first configurations are kept, as many as possible without costing a sequence
+against the best number found, and best fit places the rest. The plan has runs: pieces of a length, by rank, go to a
 run of sequences at a slot. Ranks are counted in buckets with an offset from each, so that no task sees
 all pieces of a length.
 
@@ -32,31 +36,38 @@ from .storage import partitions, written
 
 CAPACITY = 1024
 END = 2
-#: The program ends when so many rounds on end have found no configuration that fills a sequence; and the step of the prices.
-MISSES = 20
-STEP = 1.0
+#: Shares of every length's need at which the slices of the program end.
+SLICES = (0.2, 0.4, 0.6, 0.8, 0.9, 0.95, 0.98, 1.0)
+#: How fast prices grow with what is not yet placed, and rounds of a slice at most; a slice ends sooner when a round places nothing.
+STEP = 0.5
+ROUNDS = 60
+#: Numbers of configurations that rounding tries to keep.
+TRIALS = 64
 #: Pieces of a bucket in which ranks are counted, about.
 BUCKET = 100_000
 
 
 # --- tokens ---------------------------------------------------------------------------------
 
-_encoders: dict[str, object] = {}
+_encoders: dict[tuple[str, bool], object] = {}
 
 
-def encoder(path: str):
-    """Function from text to the little-endian 32-bit ids of a byte-level BPE file, special strings being ordinary text.
+def encoder(path: str, *, special: bool = False):
+    """Function from text to the little-endian 32-bit ids of a byte-level BPE file.
 
-    The file's ranks, merges and split pattern are those of the ``.tiktoken`` file beside it, where there
-    is one; that library gives the same ids several times faster and without a list of Python integers.
+    The names of special tokens in a text are ordinary text, or with ``special`` those tokens, as the
+    tokenizers library takes them unless told otherwise. The file's ranks, merges and split pattern are those of the
+    ``.tiktoken`` file beside it, where there is one; that library gives the same ids several times faster
+    and without a list of Python integers.
     """
-    if path not in _encoders:
-        _encoders[path] = _encoder(path)
-    return _encoders[path]
+    if (path, special) not in _encoders:
+        _encoders[path, special] = _encoder(path, special)
+    return _encoders[path, special]
 
 
-def _encoder(path: str):
+def _encoder(path: str, special: bool):
     import base64
+    import json
     import os
 
     ranks = path.removesuffix(".json") + ".tiktoken"
@@ -66,33 +77,36 @@ def _encoder(path: str):
 
         with open(ranks, "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        fast = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-        core = fast._core_bpe
+        with open(path, encoding="utf-8") as file:
+            named = {x["content"]: x["id"] for x in json.load(file)["added_tokens"]} if special else {}
+        fast = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=named)
+        core, allowed = fast._core_bpe, set(named)
 
         def encode(text: str) -> bytes:
             try:
-                return bytes(core.encode_to_tiktoken_buffer(text, set()))
+                return bytes(core.encode_to_tiktoken_buffer(text, allowed))
             except UnicodeEncodeError:
-                return np.array(fast.encode_ordinary(text), "<u4").tobytes()
+                return np.array(fast.encode(text, allowed_special=allowed, disallowed_special=()), "<u4").tobytes()
 
         return encode
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True
+    slow.encode_special_tokens = not special
     return lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
-def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end: int = END, text: str = "text", doc_id: str = "doc_id", ids: bool = True) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end: int = END, text: str = "text", doc_id: str = "doc_id", ids: bool = True, special: bool = True) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, and ids if asked for) of each document's tokens and the end id.
 
-    Only documents of over ``capacity`` tokens are cut; their first piece takes the rest.
+    Only documents of over ``capacity`` tokens are cut; their first piece takes the rest. The name of a special token in a text
+    is that token (``special``), as the tokenizer's own call has it.
     """
     mark = np.array([end], "<u4").tobytes()
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, special=special)
         for b in batches:
             rows: list[tuple] = []
             at: list[int] = []
@@ -115,8 +129,8 @@ def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end: in
 # --- the plan -------------------------------------------------------------------------------
 
 
-def best_configuration(prices: np.ndarray, capacity: int, most: np.ndarray) -> dict[int, int]:
-    """The multiset of lengths of most price within ``capacity``, of each length ``most`` at most (unbounded knapsack, then trimmed)."""
+def knapsack(prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each capacity the greatest price of a multiset of lengths within it, and a length of such a multiset (0: room is left)."""
     value, pick = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int32)
     reverse = prices[::-1]  # prices[0] is length 0
     n = len(prices)
@@ -128,63 +142,112 @@ def best_configuration(prices: np.ndarray, capacity: int, most: np.ndarray) -> d
         if totals[k] > value[c - 1]:
             value[c], pick[c] = totals[k], m - k
         else:
-            value[c], pick[c] = value[c - 1], 0
+            value[c] = value[c - 1]
+    return value, pick
+
+
+def _traced(pick: np.ndarray, capacity: int, most: np.ndarray, first: int = 0) -> dict[int, int]:
+    """The multiset that ``pick`` tells for ``capacity``, beginning with ``first``; of each length ``most`` at most, the rest is left out."""
     out: dict[int, int] = defaultdict(int)
-    c = capacity
+    if first:
+        out[first] = 1
+    c = capacity - first
     while c > 0:
-        if pick[c]:
-            if out[int(pick[c])] < most[pick[c]]:
-                out[int(pick[c])] += 1
-            c -= int(pick[c])
+        if k := int(pick[c]):
+            if out[k] < most[k]:
+                out[k] += 1
+            c -= k
         else:
             c -= 1
     return {k: v for k, v in out.items() if v}
 
 
-def solve(histogram: dict[int, int], capacity: int, rounds: int | None = None) -> list[tuple[dict[int, int], int]]:
+def best_configuration(prices: np.ndarray, capacity: int, most: np.ndarray) -> dict[int, int]:
+    """The multiset of lengths of most price within ``capacity``, of each length ``most`` at most (unbounded knapsack, then trimmed)."""
+    return _traced(knapsack(prices, capacity)[1], capacity, most)
+
+
+@dataclass(frozen=True)
+class Solution:
+    plan: list[tuple[dict[int, int], int]]  #: (configuration, times): every piece once
+    bound: float  #: no plan has fewer sequences
+    whole: int  #: sequences of one piece that fills them
+    program: int  #: sequences from the linear program
+    rest: int  #: sequences from best fit
+
+
+def solve(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
     """(configuration, times) that hold every piece of the histogram exactly once, in few sequences."""
-    left = np.zeros(capacity + 1, np.int64)
+    return solution(histogram, capacity, rounds).plan
+
+
+def solution(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> Solution:
+    need = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
-        left[length] = n
-    plan: dict[tuple, int] = defaultdict(int)
-    plan_add = lambda config, times: plan.__setitem__(tuple(sorted(config.items())), plan[tuple(sorted(config.items()))] + times)
-    if left[capacity]:
-        plan_add({capacity: 1}, int(left[capacity]))
-        left[capacity] = 0
-    need = left.astype(float)
-    kinds = np.flatnonzero(left)
-    if not len(kinds):
-        return [(dict(k), v) for k, v in plan.items()]
-    # Multiplicative weights: a length loses price by the share of its need that is placed. A configuration is taken
-    # as often as the scarcest of its lengths lasts if it fills its sequences; one that doesn't only costs price.
-    log_price = np.full(capacity + 1, -np.inf)
-    log_price[kinds] = np.log(kinds / capacity)
-    done = missed = 0
-    while missed < MISSES and len(live := np.flatnonzero(left)) and (rounds is None or done < rounds):
-        done += 1
-        prices = np.zeros(capacity + 1)
-        prices[live] = np.exp(log_price[live] - log_price[live].max())
-        config = best_configuration(prices, capacity, left)
-        room = capacity - sum(k * v for k, v in config.items())
-        for k in map(int, live[::-1]):
-            if k <= room and (more := min(room // k, int(left[k]) - config.get(k, 0))) > 0:
-                config[k] = config.get(k, 0) + more
-                room -= k * more
-        times = min(int(left[k]) // v for k, v in config.items())
-        for k, v in config.items():
-            log_price[k] -= STEP * v * times / need[k]
-        missed = missed + 1 if room else 0
-        if not room:
-            plan_add(config, times)
+        need[length] = n
+    whole, need[capacity] = int(need[capacity]), 0
+    full = [({capacity: 1}, whole)] if whole else []
+    if not need.any():
+        return Solution(full, whole, whole, 0, 0)
+    sizes = np.arange(capacity + 1) / capacity
+    # each length is cut into slices at its own places, so that rare lengths are spread over all slices
+    spread = np.random.default_rng(1).random(capacity + 1)
+    bound, placed, taken = 0.0, np.zeros(capacity + 1, np.int64), []
+    for share in SLICES:
+        quota = np.minimum(need, np.floor(need * share + spread).astype(np.int64)) - placed
+        for _ in range(rounds):
+            live = np.flatnonzero(quota)
+            if not len(live):
+                break
+            prices = np.zeros(capacity + 1)
+            prices[live] = sizes[live] * np.exp(STEP * quota[live] / need[live])
+            value, pick = knapsack(prices, capacity)
+            bound = max(bound, float(need @ prices) / value[capacity])
+            if not taken:  # sizes alone as prices
+                bound = max(bound, float(need @ sizes) / knapsack(np.where(need > 0, sizes, 0.0), capacity)[0][capacity])
+            # room that the bound leaves, or that no piece could ever fill
+            room, before = max(int(capacity * (1 - need @ sizes / bound) + 1e-6), int(np.flatnonzero(need)[0]) - 1), len(taken)
+            for first in map(int, live[::-1]):
+                while quota[first]:
+                    config = _traced(pick, capacity, quota, first)
+                    if capacity - sum(k * v for k, v in config.items()) > room:
+                        break
+                    times = min(int(quota[k]) // v for k, v in config.items())
+                    taken.append((config, times))
+                    for k, v in config.items():
+                        quota[k] -= v * times
+                        placed[k] += v * times
+            if len(taken) == before:
+                break
+    # configurations of few pieces first, since small pieces are of most use to best fit; as many are kept as leave
+    # the least number of sequences when best fit places the rest
+    taken.sort(key=lambda c: (sum(c[0].values()), -max(c[0])))
+    left, tried = need.copy(), []
+    for i in range(len(taken) + 1):
+        if i % max(1, -(-len(taken) // TRIALS)) == 0 or i == len(taken):
+            tried.append((sum(t for _, t in taken[:i]) + sum(t for _, t in _best_fit(left, capacity)), -i))
+        for config, times in taken[i : i + 1]:
             for k, v in config.items():
                 left[k] -= v * times
+    left, plan = need.copy(), defaultdict(int)
+    for config, times in taken[: -min(tried)[1]]:
+        plan[tuple(sorted(config.items()))] += times
+        for k, v in config.items():
+            left[k] -= v * times
+    program = sum(plan.values())
     for config, times in _greedy(left, capacity):
-        plan_add(config, times)
-    return [(dict(k), v) for k, v in sorted(plan.items())]
+        plan[tuple(sorted(config.items()))] += times
+    return Solution(full + [(dict(k), v) for k, v in sorted(plan.items())], whole + bound, whole, program, sum(plan.values()) - program)
 
 
 def _greedy(left: np.ndarray, capacity: int) -> Iterator[tuple[dict[int, int], int]]:
+    """What the program leaves over goes by best fit."""
+    yield from _best_fit(left, capacity)
+
+
+def _best_fit(need: np.ndarray, capacity: int) -> Iterator[tuple[dict[int, int], int]]:
     """Best fit, largest first: each configuration takes, again and again, the largest piece that fits, as often as pieces last."""
+    left = need.copy()
     sizes = [int(k) for k in np.flatnonzero(left)]
     while sizes:
         room, config = capacity, defaultdict(int)
@@ -231,8 +294,8 @@ def layout(plan: list[tuple[dict[int, int], int]]) -> list[Run]:
     return runs
 
 
-def place(table: DataFrame, *, capacity: int = CAPACITY, rounds: int | None = None) -> DataFrame:
-    """``table`` (a stored table of pieces with doc_id, piece and length) with sequence_id and offset."""
+def place(table: DataFrame, *, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
+    """``table`` (a stored table of pieces with doc_id, piece, length and a number ``deal`` that deals them to buckets) with sequence_id and offset in place of deal."""
     sizes = table.groupBy("length").count().collect()  # at most capacity rows
     histogram = {int(r["length"]): int(r["count"]) for r in sizes}
     if any(x < 1 or x > capacity for x in histogram):
@@ -245,13 +308,14 @@ def place(table: DataFrame, *, capacity: int = CAPACITY, rounds: int | None = No
 
     total = sum(histogram.values())
     buckets = max(partitions(table.sparkSession), -(-total // BUCKET))
-    bucket = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32" if "ids_crc32" in table.columns else "start"), F.lit(buckets)).cast("int")
+    bucket = F.pmod(F.xxhash64("deal"), F.lit(buckets)).cast("int")
     dealt = table.withColumn("__bucket", bucket)
     counts = dealt.groupBy("__bucket", "length").agg(F.count("*").alias("n"))
     before = counts.select("__bucket", "length", (F.sum("n").over(Window.partitionBy("length").orderBy("__bucket")) - F.col("n")).alias("__before"))
     # each bucket's stream: first its offsets, one row a length, then its pieces
-    names = table.columns
-    empty = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != "length" else F.col("length") for f in table.schema.fields]
+    names = [c for c in table.columns if c != "deal"]
+    fields = [f for f in table.schema.fields if f.name != "deal"]
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != "length" else F.col("length") for f in fields]
     stream = before.select("__bucket", F.lit(False).alias("__piece"), "__before", *empty).unionByName(dealt.select("__bucket", F.lit(True).alias("__piece"), F.lit(None).cast("long").alias("__before"), *names))
     joined = stream.repartition(max(partitions(table.sparkSession), buckets // 4), "__bucket").sortWithinPartitions("__bucket", "__piece")
     at = [joined.columns.index(c) for c in names]
@@ -278,10 +342,11 @@ def place(table: DataFrame, *, capacity: int = CAPACITY, rounds: int | None = No
             own = [b.column(c).take(take) for c in at]
             yield pa.RecordBatch.from_arrays([*own, pa.array(ids, pa.int64()), pa.array(offs, pa.int64())], names=[*names, "sequence_id", "offset"])
 
-    schema = T.StructType([*table.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    schema = T.StructType([*fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     return joined.mapInArrow(run, schema)
 
 
-def pack(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end: int = END, text: str = "text", doc_id: str = "doc_id", ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end: int = END, text: str = "text", doc_id: str = "doc_id", ids: bool = False, special: bool = True) -> DataFrame:
     """Every piece of ``docs`` with its sequence and offset there."""
-    return place(written(pieces(docs, tokenizer, capacity=capacity, end=end, text=text, doc_id=doc_id, ids=ids), "pieces"), capacity=capacity)
+    cut = pieces(docs, tokenizer, capacity=capacity, end=end, text=text, doc_id=doc_id, ids=ids, special=special)
+    return place(written(cut.withColumn("deal", F.rand(1)), "pieces"), capacity=capacity)  # equal rows are dealt apart

@@ -204,6 +204,26 @@ def test_the_program_packs_a_share_at_every_size(n, share, monkeypatch):
     assert total - sum(rest) > share * total and bound <= total <= 1.08 * bound
 
 
+def test_the_program_gives_nearly_all_of_a_large_plan():
+    h = {k: 30 * v for k, v in Counter(np.clip(np.random.default_rng(4).lognormal(5.3, 1, 15000), 1, 1023).astype(int).tolist()).items()}
+    need = np.zeros(1025, np.int64)
+    need[list(h)] = list(h.values())
+    got = packing.solution(h, 1024)
+    total = sum(times for _, times in got.plan)
+    assert got.program + got.rest + got.whole == total and got.program > 0.9 * total
+    assert got.bound <= total <= sum(times for _, times in packing._best_fit(need, 1024))
+    held = Counter()
+    for config, times in got.plan:
+        held.update({k: v * times for k, v in config.items()})
+    assert held == Counter(h)
+
+
+def test_plans_of_lengths_that_cannot_fill():
+    assert packing.solution({600: 100}, 1024).program == 100
+    got = packing.solution({600: 100, 300: 50, 1024: 2}, 1024)
+    assert got.whole == 2 and sum(t for _, t in got.plan) == 102 >= got.bound - 1e-6 and packing.solution({}, 1024).plan == []
+
+
 def test_knapsack_finds_the_best_price():
     rng = np.random.default_rng(3)
     for _ in range(20):

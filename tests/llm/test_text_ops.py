@@ -321,6 +321,16 @@ def test_ids_are_those_of_the_library(tokenizer, t):
     assert np.frombuffer(packing.encoder(PATH)(t), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_names_of_special_tokens():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(PATH)
+    for x in ("a <|endoftext|> b", "<|endoftext|><|endoftext|>", " <|endoftext|", "a\n <|endoftext|>\n"):
+        ids = np.frombuffer(packing.encoder(PATH, special=True)(x), "<u4").tolist()
+        assert ids == plain.encode(x, add_special_tokens=False).ids
+    assert 50256 not in np.frombuffer(packing.encoder(PATH)("<|endoftext|>"), "<u4")
+
+
 @settings(max_examples=80, deadline=None)
 @given(TEXTS, st.lists(st.tuples(st.integers(0, 80), st.integers(0, 6), st.sampled_from(["", " ", "x", "<email>", " a b ", "\n"])), max_size=5))
 def test_counts_follow_edits(t, changes):
