@@ -1,20 +1,25 @@
 """Exact top-k search by multi-resolution segment statistics.
 
-A vector is cut into 1, 2, 4, ... segments; each keeps mean and deviation. The inner product of two
-vectors is at most the sum over segments of w (mean * mean + deviation * deviation), which for vectors
-of known norm is the lower bound of their distance. A block of queries meets a block of vectors: bounds
-go from coarse to fine, pairs below the query's k-th best score so far are left out, and the survivors'
-scores are computed exactly in integers. Blocks are packed matrices; every block of vectors meets every
-block of queries (a stated query set against all rows), and only k rows a query and block go on.
+A vector is cut into 1, 4, 16, ... segments, at last segments of two numbers; each keeps mean and deviation. The inner
+product of two vectors is at most the sum over segments of w (mean * mean + deviation * deviation), which
+for vectors of known norm is the lower bound of their distance. Bounds go from coarse to fine, pairs below
+the query's k-th best score so far are left out, and the survivors' scores are computed exactly in integers.
+A level that rules out less than it costs is not tried again in that task; the results don't depend on it.
+
+Vectors stay where they are stored. The stated query set goes to them in rounds: blocks of queries of
+``ROUND`` bytes at most are broadcast, each task runs them against its vectors block by block and carries every
+query's k best on, so that k rows a query and task go on at most. A first pass over a
+1/``SEEDS`` share of the vectors gives every query a score to beat, so that far fewer do.
 
 Results by case: null vectors and vectors with a null or non-finite component take no part; vectors meet
 vectors of the same dimension only; empty vectors have score 0 with each other; rows without an id take no
 part; rows of a query's own id are not its candidates, repeated rows of another id are each a candidate;
-scores beyond 64 bits are held at the limits.
+an empty table gives no row; extra columns are left out; scores beyond 64 bits are held at the limits.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,24 +28,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .storage import partitions, written
+from .storage import written
 
 #: Rows of a block of vectors and of a block of queries.
-VECTORS, QUERIES = 4096, 512
+VECTORS, QUERIES = 1024, 512
 SCALE = 1024
-#: Numbers up to this make scores of 2**13 dimensions that a double holds exactly.
-EXACT = 1 << 20
-
-
-def quantised(vector: list[float | None] | None) -> list[int] | None:
-    if vector is None:
-        return None
-    out = []
-    for x in vector:
-        if x is None or not np.isfinite(x):
-            return None
-        out.append(int(np.floor(float(x) * SCALE)))
-    return out
+#: Bytes of query vectors that are broadcast at once, at most (one block at least).
+ROUND = 64 << 20
+#: The first pass takes one vector in so many.
+SEEDS = 64
+#: Pairs that a level meets before it may be dropped.
+TRIED = 1 << 20
+#: An exact score costs about so many times what a bound of as many numbers does.
+DEARER = 10.0
 
 
 def _packed(batches: Iterator[pa.RecordBatch], rows: int, dtype: np.dtype = np.dtype("<i8")) -> Iterator[pa.RecordBatch]:
@@ -94,62 +94,140 @@ def _scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     return np.array([min(hi, max(lo, sum(int(a) * int(b) for a, b in zip(x, y, strict=True)))) for x, y in zip(q, v, strict=True)], np.int64)
 
 
-def search_block(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query_id, vec_id, score) of the k best in the block for each query, ties to the smaller id."""
-    dim = q.shape[1]
-    own = query_ids[:, None] == ids[None, :]
-    levels = [s for s in (1, 4, 16) if s < dim] if dim else []
+class Bounds:
+    """The levels of a dimension, and what each has ruled out so far."""
+
+    def __init__(self, dim: int):
+        self.dim = dim
+        self.levels = sorted({s for s in (1, 4, 16, 64, 256, dim // 2) if 0 < s <= dim // 2})
+        self.met, self.ruled_out = dict.fromkeys(self.levels, 0), dict.fromkeys(self.levels, 0)
+
+    def useful(self) -> list[int]:
+        return [s for s in self.levels if self.met[s] < TRIED or self.ruled_out[s] * DEARER * self.dim >= self.met[s] * 2 * s]
+
+    def count(self, level: int, before: int, after: int) -> None:
+        self.met[level] += before
+        self.ruled_out[level] += before - after
+
+
+def search_block(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int, least: np.ndarray | None = None, bounds: Bounds | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query_id, vec_id, score) of the k best in the block for each query, ties to the smaller id.
+
+    Scores below ``least``, one number a query, may be left out.
+    """
+    bounds = bounds or Bounds(q.shape[1])
+    i, j, scores = _survivors(query_ids, q, ids, v, k, np.full(len(q), -np.inf) if least is None else least, bounds)
+    order = np.lexsort((ids[j], np.bitwise_not(scores), i))
+    i, j, scores = i[order], j[order], scores[order]
+    starts = np.searchsorted(i, np.arange(len(q)))
+    best = np.arange(len(i)) - starts[i] < k if len(i) else np.zeros(0, bool)
+    return query_ids[i[best]], ids[j[best]], scores[best]
+
+
+def _survivors(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int, least: np.ndarray, bounds: Bounds) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of q, rows of v and exact scores of the pairs that the bounds can't rule out."""
     qf, vf = q.astype(float), v.astype(float)
-    alive = ~own
-    threshold = np.full(len(q), -np.inf)
+    alive = query_ids[:, None] != ids[None, :]
+    threshold = least.astype(float)
+    slack = 1e-6 + 1e-12 * np.linalg.norm(qf, axis=1)[:, None] * np.linalg.norm(vf, axis=1)[None, :]
+    levels = bounds.useful()
     for s in levels:
         bound = _statistics(qf, s) @ _statistics(vf, s).T
-        bound += 1e-9 * np.abs(bound) + 1e-6 + 1e-12 * np.linalg.norm(qf, axis=1)[:, None] * np.linalg.norm(vf, axis=1)[None, :]
-        if len(ids) > k:
-            # the most promising give a first threshold, exactly
-            masked = np.where(alive, bound, -np.inf)
-            first = np.argpartition(-masked, k - 1, axis=1)[:, :k]
+        bound += 1e-9 * np.abs(bound) + slack
+        before = int(alive.sum())
+        if s == levels[-1] and len(ids) > k:
+            # the most promising by the finest bound give a first threshold, exactly
+            first = np.argpartition(np.where(alive, -bound, np.inf), k - 1, axis=1)[:, :k]
             rows = np.repeat(np.arange(len(q)), k)
             exact = _scores(q[rows], v[first.ravel()]).reshape(len(q), k).astype(float)
             exact[~np.take_along_axis(alive, first, axis=1)] = -np.inf
             np.maximum(threshold, exact.min(axis=1), out=threshold)
         # doubles of scores beyond 2**53 may be rounded up
         alive &= bound >= (threshold - np.abs(threshold) * 1e-12)[:, None]
+        bounds.count(s, before, int(alive.sum()))
     i, j = np.nonzero(alive)
-    out_s = []
-    for at in range(0, len(i), 1 << 15):
-        out_s.append(_scores(q[i[at : at + (1 << 15)]], v[j[at : at + (1 << 15)]]))
-    scores = np.concatenate(out_s) if out_s else np.empty(0, np.int64)
-    order = np.lexsort((ids[j], np.bitwise_not(scores), i))
-    i, j, scores = i[order], j[order], scores[order]
-    starts = np.searchsorted(i, np.arange(len(q)))
-    rank = np.arange(len(i)) - starts[i] if len(i) else np.empty(0, np.int64)
-    best = rank < k
-    return query_ids[i[best]], ids[j[best]], scores[best]
+    parts = [_scores(q[i[at : at + (1 << 15)]], v[j[at : at + (1 << 15)]]) for at in range(0, len(i), 1 << 15)]
+    return i, j, np.concatenate(parts) if parts else np.empty(0, np.int64)
+
+
+class Search:
+    """Blocks of queries with the k best that a task has found for each."""
+
+    def __init__(self, blocks: list[tuple[int, bytes, bytes, bytes]], k: int):
+        self.k, self.of, self.bounds = k, {}, {}
+        for dim, ids, matrix, least in blocks:
+            ids = np.frombuffer(ids, "<i8")
+            empty = np.empty(0, np.int64)
+            self.of.setdefault(dim, []).append([ids, np.frombuffer(matrix, "<i8").reshape(len(ids), dim), np.frombuffer(least, "<f8").copy(), (empty, empty, empty)])
+
+    def meet(self, dim: int, ids: np.ndarray, v: np.ndarray) -> None:
+        for block in self.of.get(dim, ()):
+            query_ids, q, least, (i0, j0, s0) = block
+            i, j, s = _survivors(query_ids, q, ids, v, self.k, least, self.bounds.setdefault(dim, Bounds(dim)))
+            i, j, s = np.concatenate([i0, i]), np.concatenate([j0, ids[j]]), np.concatenate([s0, s])
+            order = np.lexsort((j, np.bitwise_not(s), i))
+            i, j, s = i[order], j[order], s[order]
+            starts = np.searchsorted(i, np.arange(len(q) + 1))
+            rank = np.arange(len(i)) - starts[i]
+            best = (rank < self.k) & (s >= least[i])
+            block[3] = (i[best], j[best], s[best])
+            full = np.flatnonzero(np.diff(starts) >= self.k)
+            last = s[starts[full] + self.k - 1].astype(float)
+            least[full] = np.maximum(least[full], last - np.abs(last) * 1e-12)
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        for blocks in self.of.values():
+            for query_ids, _, _, (i, j, s) in blocks:
+                yield pa.RecordBatch.from_arrays([pa.array(query_ids[i]), pa.array(j), pa.array(s)], names=["query_id", "vec_id", "score"])
+
+
+def _found(rows: DataFrame, blocks: list, k: int) -> DataFrame:
+    """(query_id, vec_id, score) of the best of each task that reads ``rows`` (id, v)."""
+    shared = rows.sparkSession.sparkContext.broadcast([(b["dim"], bytes(b["ids"]), bytes(b["matrix"]), bytes(b["least"])) for b in blocks])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        search = Search(shared.value, k)
+        for b in _packed(batches, VECTORS):
+            dim, ids = b.column(0)[0].as_py(), np.frombuffer(b.column(2)[0].as_py(), "<i8")
+            search.meet(dim, ids, np.frombuffer(b.column(3)[0].as_py(), "<i8").reshape(len(ids), dim))
+        yield from search.rows()
+
+    return rows.select("id", "v").mapInArrow(run, "query_id long, vec_id long, score long")
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int, *, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) of the k largest inner products of each query with all other rows."""
     rows = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("id"), F.col(f"`{embedding}`").cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
-    kind = "dim int, n int, ids binary, matrix binary"
     asked = rows.where("q").select("id", "v").distinct()
-    n = -(-asked.count() // QUERIES)
-    blocks = asked.repartition(max(1, n)).mapInArrow(lambda it: _packed(it, QUERIES), kind)
-    queries = written(blocks.withColumn("block", F.monotonically_increasing_id()), "queries").withColumnRenamed("ids", "q_ids").withColumnRenamed("matrix", "q_matrix").drop("n")
-    # every block of vectors meets every block of queries; salts deal the vectors of a query block to many tasks
-    salts = partitions(vectors.sparkSession)
-    heads = queries.select("dim", "block")
-    packed = rows.select("id", "v").mapInArrow(lambda it: _packed(it, VECTORS), kind).withColumn("salt", F.pmod(F.xxhash64("ids"), F.lit(salts)).cast("int"))
-    met = packed.join(heads, "dim").join(queries.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["dim", "block", "salt"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for dim, ids, m, q_ids, q_m in zip(*(b.column(c).to_pylist() for c in ("dim", "ids", "matrix", "q_ids", "q_matrix")), strict=True):
-                read = lambda x: np.frombuffer(x, "<i8")
-                qi, vi = read(q_ids), read(ids)
-                found = search_block(qi, read(q_m).reshape(len(qi), dim), vi, read(m).reshape(len(vi), dim), k)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=["query_id", "vec_id", "score"])
-
-    found = met.select("dim", "ids", "matrix", "q_ids", "q_matrix").mapInArrow(run, "query_id long, vec_id long, score long")
+    packed = asked.repartition(max(1, -(-asked.count() // QUERIES))).mapInArrow(lambda it: _packed(it, QUERIES), "dim int, n int, ids binary, matrix binary")
+    queries = written(packed.withColumn("block", F.monotonically_increasing_id()), "queries")
+    seed = F.pmod(F.xxhash64("id"), F.lit(SEEDS)) == 0
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = lambda found: found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    out = []
+    for names in _rounds(queries):
+        chosen = queries.where(F.col("block").isin(names))
+        blocks = [{**b.asDict(), "least": np.full(b["n"], -np.inf).tobytes()} for b in chosen.collect()]  # ROUND bytes
+        first = written(best(_found(rows.where(seed), blocks, k)), "seeds")
+        ids = {int(x) for b in blocks for x in np.frombuffer(b["ids"], "<i8")}
+        known = {r.query_id: float(r.score) for r in first.where(F.col("rank") == k).select("query_id", "score").collect() if r.query_id in ids}  # a number a query of the round
+        for b in blocks:
+            least = [known.get(int(x), -np.inf) for x in np.frombuffer(b["ids"], "<i8")]
+            b["least"] = np.array([x - abs(x) * 1e-12 for x in least], "<f8").tobytes()
+        out += [first.drop("rank"), written(_found(rows.where(~seed), blocks, k), "found")]
+    if not out:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    return best(functools.reduce(DataFrame.unionAll, out)).select("query_id", "rank", "vec_id", "score")
+
+
+def _rounds(queries: DataFrame) -> Iterator[list[int]]:
+    """Numbers of the blocks of each round."""
+    names, size = [], 0
+    for r in queries.select("block", (F.octet_length("ids") + F.octet_length("matrix")).alias("size")).orderBy("block").toLocalIterator():
+        if names and size + r["size"] > ROUND:
+            yield names
+            names, size = [], 0
+        names.append(r["block"])
+        size += r["size"]
+    if names:
+        yield names

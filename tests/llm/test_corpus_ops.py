@@ -274,6 +274,32 @@ def test_bounds_leave_vectors_out():
     assert kept[-1] < 5 * 2000 / 3
 
 
+@pytest.mark.parametrize("spread", [5, 400])
+def test_a_task_carries_its_best_on(spread):
+    """Blocks of any order, thresholds of a first pass and dropped levels change no result."""
+    rng = np.random.default_rng(1)
+    v = (rng.normal(0, 300, (6, 24))[rng.integers(0, 6, 900)] + rng.normal(0, spread, (900, 24))).astype(np.int64)
+    v[800:] = v[:100]  # ties
+    ids = rng.permutation(900)
+    scores = v[:40] @ v.T
+    want = []
+    for i in range(40):
+        want += sorted((int(ids[i]), -int(scores[i, j]), int(ids[j])) for j in range(900) if ids[j] != ids[i])[:7]
+    for least in (np.full(40, -np.inf), np.array([-want[7 * i + 6][1] for i in range(40)], float)):
+        search = topk.Search([(24, ids[:40].astype("<i8").tobytes(), v[:40].astype("<i8").tobytes(), least.astype("<f8").tobytes())], 7)
+        for at in range(0, 900, 130):
+            search.meet(24, ids[at : at + 130], v[at : at + 130])
+        got = [(q, -s, i) for b in search.rows() for q, i, s in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        assert sorted(got) == sorted(want)
+
+
+def test_search_leaves_vectors_in_place(spark):
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(50)], "vec_id long, embedding array<double>").withColumn("score", F.lit(1))
+    plan = topk._found(df.selectExpr("vec_id as id", "embedding as v"), [], 3)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert topk.top_k(df.unionByName(df), F.col("vec_id") == 7, 3).where("vec_id = 49").count() == 2
+
+
 # --- the pipeline ---------------------------------------------------------------------------
 
 
