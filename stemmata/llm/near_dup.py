@@ -16,8 +16,9 @@ test and the least number of equal registers: 1e-5. Everything else is exact.
 
 Results by case: a null, empty or wordless text has an empty set and is linked with nothing; a row without
 a doc_id is linked with nothing, has no component and is kept; rows of one doc_id with different texts
-belong to the components of their own texts; extra columns stay; columns named like a result column are
-replaced.
+belong to the components of their own texts; repeated rows are one class; long texts are read to the end; an
+empty table gives no row. ``near_duplicates`` returns its own columns alone; ``first_of_each`` returns the
+columns of its input, whatever their names.
 """
 
 from __future__ import annotations
@@ -51,6 +52,8 @@ GROUP = 256
 BLOCK = 2048
 #: Classes of a block of a bucket whose full sets are compared with another block's.
 SETS = 512
+#: A class is hot if it has over 1/HOT of all rows, so HOT classes at most are.
+HOT = 4096
 RESULT = ("n_shingles", "component_id", "kept")
 
 _draw = np.random.Generator(np.random.PCG64(7))
@@ -111,7 +114,7 @@ def _describe(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
             k = registers(s) if len(s) else None
             sketches.append(k.tobytes() if k is not None else None)
             keys.append(bands(k) if k is not None else None)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(sketches, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc", "n", "digest", "sketch", "bands"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(sketches, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc", "mark", "n", "digest", "sketch", "bands"])
 
 
 def _sizes_allow(percent: int) -> F.Column:
@@ -287,11 +290,19 @@ def _exact_links(rows: DataFrame, texts: DataFrame, width: int, percent: int) ->
     return _in_blocks(sized.join(sets, "id"), SETS, "id", "component", "shingles").mapInArrow(run, "a long, b long")
 
 
-def classes_and_components(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", width: int = WIDTH, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(doc, n, digest) of every row with a doc_id, and (digest, component) of every class: the smallest doc_id it reaches."""
-    narrow = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text")).where("doc is not null")
-    described = written(narrow.mapInArrow(lambda it: _describe(it, width), "doc long, n long, digest binary, sketch binary, bands array<long>"), "sketches")
-    grouped = described.where("n > 0").groupBy("digest").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
+def _narrow(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """(doc, text, mark of the text) of the rows with a doc_id."""
+    return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("string").alias("text")).where("doc is not null").withColumn("mark", F.xxhash64("text"))
+
+
+def classes_and_components(narrow: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, only: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(doc, mark, n, digest) of every row of ``narrow``, and (digest, component, size) of every class: the smallest doc it reaches.
+
+    ``only`` (doc): rows of other docs are left out.
+    """
+    sketches = narrow.mapInArrow(lambda it: _describe(it, width), "doc long, mark long, n long, digest binary, sketch binary, bands array<long>")
+    described = written(sketches if only is None else sketches.join(only, "doc", "left_semi"), "sketches")
+    grouped = described.where("n > 0").groupBy("digest").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"), F.count("*").alias("members"))
     classes = written(grouped.withColumn("id", F.monotonically_increasing_id()), "classes")
     banded = classes.select("id", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("id").alias("root"), F.count("*").alias("size")).where("size > 1")
@@ -300,7 +311,7 @@ def classes_and_components(docs: DataFrame, *, text: str = "text", doc_id: str =
     candidates = written(_screen(stars, classes, percent), "pairs")
     # one text of each class that shares a bucket with another
     involved = in_buckets.select("id").distinct().join(classes.select("id", "doc", "digest"), "id")
-    texts = written(_of_digest(narrow.join(involved, "doc").select("id", "digest", "text"), width).dropDuplicates(["id"]), "texts")
+    texts = written(_of_digest(narrow.select("doc", "text").join(involved, "doc").select("id", "digest", "text"), width).dropDuplicates(["id"]), "texts")
     links = written(_verified(candidates, texts, width, percent), "found")
     edges = lambda: links.select(F.col("a").alias("u"), F.col("b").alias("v"))
     labels = components(edges())
@@ -312,9 +323,25 @@ def classes_and_components(docs: DataFrame, *, text: str = "text", doc_id: str =
     if more.limit(1).count():
         links = links.unionAll(more)
         labels = components(edges())
-    named = classes.join(labels, classes["id"] == labels["node"], "left").select("digest", "doc", F.coalesce("component", "id").alias("label"))
+    named = classes.join(labels, classes["id"] == labels["node"], "left").select("digest", "doc", "members", F.coalesce("component", "id").alias("label"))
     least = named.groupBy("label").agg(F.min("doc").alias("component"))
-    return described.select("doc", "n", "digest"), named.join(least, "label").select("digest", "component")
+    return described.select("doc", "mark", "n", "digest"), named.join(least, "label").select("digest", "component", F.col("members").alias("size"))
+
+
+def _with_component(described: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc, mark, n, component) of every described row; a row with an empty set is its own component.
+
+    The components of hot classes go to every task, so that no task gets all copies of a text.
+    """
+    found = written(found, "components")
+    total = found.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    hot = F.broadcast(found.where(F.col("size") * HOT > total).select("digest", "component"))  # fewer than HOT rows
+    cold = found.where(F.col("size") * HOT <= total).select("digest", "component")
+    some = described.where("digest is not null")
+    columns = ["doc", "mark", "n", "component"]
+    rest = some.join(hot.select("digest"), "digest", "left_anti").join(cold, "digest").select(*columns)
+    empty = described.where("digest is null").withColumn("component", F.col("doc")).select(*columns)
+    return some.join(hot, "digest").select(*columns).unionAll(rest).unionAll(empty)
 
 
 def _of_digest(rows: DataFrame, width: int) -> DataFrame:
@@ -334,15 +361,33 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row; n_shingles and component_id are null without a doc_id."""
-    described, found = classes_and_components(docs, text=text, doc_id=doc_id, width=width, percent=percent)
-    rows = described.join(found, "digest", "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
+    described, found = classes_and_components(_narrow(docs, text, doc_id), width=width, percent=percent)
+    rows = _with_component(described, found).select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
     nothing = F.lit(None).cast("long")
     lost = docs.where(F.col(f"`{doc_id}`").isNull()).select(nothing.alias("doc_id"), nothing.alias("n_shingles"), nothing.alias("component_id"))
     return rows.unionByName(lost).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def first_of_each(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The rows of the smallest doc_id of each component, equal ones once; rows without a doc_id stay."""
-    kept = near_duplicates(docs, text=text, doc_id=doc_id, width=width, percent=percent).where("kept and doc_id is not null").select(F.col("doc_id").alias("__doc")).distinct()
-    rows = docs.withColumn("__doc", F.col(f"`{doc_id}`").cast("long"))
-    return rows.join(kept, "__doc", "left_semi").dropDuplicates(["__doc", text]).unionByName(rows.where("__doc is null")).drop("__doc")
+def first_of_each(docs: DataFrame, *, before: DataFrame | None = None, text: str = "text", doc_id: str = "doc_id", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """The rows of the smallest doc_id of each component, equal texts of a doc_id once; rows without a doc_id stay.
+
+    ``before`` holds earlier texts of the same documents: documents are also linked if those are near copies. Rows of
+    documents that are not in ``docs`` any more are left out.
+    """
+    now = _narrow(docs, text, doc_id)
+    ids = now.select("doc").distinct()
+    if before is None:
+        described, found = classes_and_components(now, width=width, percent=percent)
+        rows = _with_component(described, found)
+    else:
+        both = now.unionAll(_narrow(before, text, doc_id))
+        described, found = classes_and_components(both, width=width, percent=percent, only=ids)
+        every = written(_with_component(described, found), "rows")
+        # a document's texts of then and now tie their components
+        ties = components(every.select(F.col("doc").alias("u"), F.col("component").alias("v")))
+        rows = every.join(ties, every["doc"] == ties["node"], "left").select("doc", "mark", F.coalesce(ties["component"], every["doc"]).alias("component"))
+    kept = rows.where("doc = component").select(F.col("doc").alias("__doc"), F.col("mark").alias("__mark")).distinct()
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    own = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], F.col(f"`{doc_id}`").cast("long").alias("__doc"), F.xxhash64(F.col(f"`{text}`").cast("string")).alias("__mark"))
+    first = own.where("__doc is not null").join(kept, ["__doc", "__mark"], "left_semi").dropDuplicates(["__doc", "__mark"])
+    return first.unionByName(own.where("__doc is null")).select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -96,7 +96,7 @@ def _encoder(path: str, special: bool):
     return lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
-def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end: int = END, text: str = "text", doc_id: str = "doc_id", ids: bool = True, special: bool = True) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end: int = END, text: str = "text", doc_id: str = "doc_id", ids: bool = True, special: bool = True, row: str | None = None) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, and ids if asked for) of each document's tokens and the end id.
 
     Only documents of over ``capacity`` tokens are cut; their first piece takes the rest. The name of a special token in a text
@@ -121,9 +121,12 @@ def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end: in
                     piece, start, length = piece + 1, start + length, capacity
             cols = list(zip(*rows, strict=True)) if rows else [()] * (4 + ids)
             new = [pa.array(cols[0], pa.int32()), *(pa.array(c, pa.int64()) for c in cols[1:4])] + ([pa.array([x.astype(np.int32) for x in cols[4]], pa.list_(pa.int32()))] if ids else [])
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int32())), *new], names=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * ids)
+            at = pa.array(at, pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), *new, *([b.column(2).take(at)] if row else [])], names=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * ids + [row] * bool(row))
 
-    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * ids)
+    more = f", `{row}` {docs.schema[row].dataType.simpleString()}" if row else ""
+    used = [F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")] + ([F.col(f"`{row}`")] if row else [])
+    return docs.select(*used).mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * ids + more)
 
 
 # --- the plan -------------------------------------------------------------------------------
@@ -346,7 +349,7 @@ def place(table: DataFrame, *, capacity: int = CAPACITY, rounds: int = ROUNDS) -
     return joined.mapInArrow(run, schema)
 
 
-def pack(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end: int = END, text: str = "text", doc_id: str = "doc_id", ids: bool = False, special: bool = True) -> DataFrame:
-    """Every piece of ``docs`` with its sequence and offset there."""
-    cut = pieces(docs, tokenizer, capacity=capacity, end=end, text=text, doc_id=doc_id, ids=ids, special=special)
+def pack(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end: int = END, text: str = "text", doc_id: str = "doc_id", ids: bool = False, special: bool = True, row: str | None = None) -> DataFrame:
+    """Every piece of ``docs`` with its sequence and offset there. ``row`` names a column of docs that each piece takes along: it tells repeated documents apart."""
+    cut = pieces(docs, tokenizer, capacity=capacity, end=end, text=text, doc_id=doc_id, ids=ids, special=special, row=row)
     return place(written(cut.withColumn("deal", F.rand(1)), "pieces"), capacity=capacity)  # equal rows are dealt apart

@@ -1,7 +1,8 @@
 """Tables written to the shared folder of the cluster, to cut lineage and to be read more than once.
 
-The folder is the one named by ``spark.checkpoint.dir``. Only where that is unset, as in tests, a
-folder of this process is used. Written tables survive the loss of executors.
+The folder is the one named by ``spark.checkpoint.dir``. Where that is unset and Spark runs in this process
+alone, as in tests, a folder of this process is used; on a cluster that is an error, since executors share no
+local folder. Written tables survive the loss of executors.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ _written: list[tuple[SparkSession, str]] = []
 def shared_dir(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="stemmata-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

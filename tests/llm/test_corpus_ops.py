@@ -343,6 +343,72 @@ def test_pipeline_stages(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == now.count()
 
 
+ODD = [(1, "a few words in one line here", "s"), (1, "a few words in one line here", "s"), (2, None, None), (3, "", "s"), (4, "a few words in one line here", "t"), (None, "no id but some words", "s"), (None, None, None), (5, "word " * 3000 + "end", "t"), (6, " \n ", "t")]
+CLASH = ["score", "n_passages", "passages", "n_lines", "n_dropped", "copy", "copies", "mix_key", "__doc", "__carried0", "component_id", "kept", "segments", "a`b".replace("`", " ")]
+
+
+@pytest.fixture(scope="module")
+def odd_tables(spark, tmp_path_factory):
+    docs = spark.createDataFrame(ODD, "doc_id long, text string, source string")
+    docs = docs.select("doc_id", *[F.concat(F.lit(f"{c}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("x"))).alias(c) for c in CLASH], "text", "source", F.lit(7).alias("n_chars"))
+    folders = {}
+    for name, rows in (("odd", docs), ("empty", docs.where("false"))):
+        folders[name] = str(tmp_path_factory.mktemp(name))
+        rows.write.parquet(f"{folders[name]}/documents.parquet")
+        spark.createDataFrame([(1, 1, 0), (5, 1, 1), (None, 1, 1), (4, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{folders[name]}/labels.parquet")
+    return folders
+
+
+@pytest.mark.parametrize("k", range(4))
+def test_stages_carry_odd_rows_and_columns(spark, odd_tables, k):
+    import corpus_pipeline
+
+    name, stage = corpus_pipeline.STAGES[k]
+    docs = spark.read.parquet(odd_tables["odd"] + "/documents.parquet")
+    got = stage(spark, docs, odd_tables["odd"])
+    assert got.schema.names == docs.schema.names and [f.dataType for f in got.schema] == [f.dataType for f in docs.schema]
+    rows = got.collect()
+    for r in rows:
+        assert all(r[c] == f"{c}-{'x' if r.doc_id is None else r.doc_id}" for c in CLASH)
+    have = Counter((r.doc_id, r.text) for r in rows)
+    given = Counter((d, t) for d, t, _ in ODD)
+    if k == 0:
+        assert have == given
+    elif k == 1:  # document 4 has nothing that document 1 hasn't
+        assert have == given - Counter({(4, ODD[0][1]): 1}) and all(r.n_chars == len(r.text) for r in rows if r.text is not None)
+    elif k == 2:
+        assert have == Counter({k: v for k, v in given.items() if k[0] != 4}) - Counter({(1, ODD[0][1]): 1})
+    else:
+        assert set(have) <= set(given)
+    empty = spark.read.parquet(odd_tables["empty"] + "/documents.parquet")
+    assert stage(spark, empty, odd_tables["empty"]).count() == 0
+
+
+def test_packing_stage_tells_copies_apart(spark, odd_tables):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(odd_tables["odd"] + "/documents.parquet")
+    got = corpus_pipeline.pack_sequences(spark, docs, odd_tables["odd"]).collect()
+    assert len({(r.row_id, r.piece) for r in got}) == len(got) and len({r.row_id for r in got}) == len(ODD)
+    check_packing([(d, t) for d, t, _ in ODD], got, 1024)
+
+
+def test_near_copies_are_found_by_their_texts_of_before(spark):
+    """What line dedup leaves of a near copy no longer shows it."""
+    words = [f"w{i}" for i in range(200)]
+    whole = [(1, "\n".join(" ".join(words[i : i + 20]) for i in range(0, 200, 20))), (2, "\n".join(" ".join([*words[i : i + 19], "other" if i == 100 else words[i + 19]]) for i in range(0, 200, 20))), (3, "something else altogether is said in here"), (9, whole_text := "a text of a document that went before this")]
+    now = [(1, whole[0][1]), (2, "w100 w101 other"), (3, whole[2][1]), (8, whole_text)]
+    got = sorted(r.doc_id for r in near_dup.first_of_each(documents(spark, now), before=documents(spark, whole)).collect())
+    assert got == [1, 3, 8]
+
+
+def test_copies_of_hot_classes_do_not_meet(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "HOT", 3)
+    rows = [(i, "the same text for all of these documents here") for i in range(40)] + [(100 + i, f"text {i} of its own words x{i} y{i} z{i}") for i in range(20)] + [(300, None)]
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(documents(spark, rows)).collect()}
+    assert got == {**{i: 0 for i in range(40)}, **{100 + i: 100 + i for i in range(20)}, 300: 300}
+
+
 def test_texts_reach_the_end_whole(spark):
     t = "line of the text\n" * 3
     got = line_dedup.dedup(documents(spark, [(1, t)])).first()
