@@ -375,17 +375,13 @@ def first_of_each(docs: DataFrame, *, before: DataFrame | None = None, text: str
     documents that are not in ``docs`` any more are left out.
     """
     now = _narrow(docs, text, doc_id)
-    ids = now.select("doc").distinct()
-    if before is None:
-        described, found = classes_and_components(now, width=width, percent=percent)
-        rows = _with_component(described, found)
-    else:
-        both = now.unionAll(_narrow(before, text, doc_id))
-        described, found = classes_and_components(both, width=width, percent=percent, only=ids)
-        every = written(_with_component(described, found), "rows")
-        # a document's texts of then and now tie their components
-        ties = components(every.select(F.col("doc").alias("u"), F.col("component").alias("v")))
-        rows = every.join(ties, every["doc"] == ties["node"], "left").select("doc", "mark", F.coalesce(ties["component"], every["doc"]).alias("component"))
+    rows = _with_component(*classes_and_components(now, width=width, percent=percent))
+    if before is not None:
+        # one search each: a document's texts of then and now would mostly find one another
+        rows = written(rows, "rows")
+        then = _with_component(*classes_and_components(_narrow(before, text, doc_id), width=width, percent=percent, only=rows.select("doc").distinct()))
+        ties = components(rows.select("doc", "component").unionAll(then.select("doc", "component")).select(F.col("doc").alias("u"), F.col("component").alias("v")))
+        rows = rows.drop("component").join(ties, rows["doc"] == ties["node"], "left").select("doc", "mark", F.coalesce("component", "doc").alias("component"))
     kept = rows.where("doc = component").select(F.col("doc").alias("__doc"), F.col("mark").alias("__mark")).distinct()
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     own = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], F.col(f"`{doc_id}`").cast("long").alias("__doc"), F.xxhash64(F.col(f"`{text}`").cast("string")).alias("__mark"))

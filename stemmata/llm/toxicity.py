@@ -204,12 +204,11 @@ def _unlike(nodes: DataFrame) -> list:
     closer = F.when((good > 0) & (bad > n * p), F.greatest(F.log(2 * math.pi * bad * good / n) / 2 + F.log1p(-good / (bad + 1) * p / (1 - p)), F.lit(0.0))).otherwise(0.0)
     tested = nodes.where(n >= LEAST).withColumn("g", part(bad, p) + part(good, 1 - p) + closer).withColumn("most", -n * F.log(p))
     steps, at = 1024, lambda c: F.least(F.floor(F.col(c) * 16), F.lit(1024)).alias(c)
-    beyond = {}
-    for c in ("g", "most"):  # numbers of nodes at each step or beyond: 1025 rows at most
-        counts = np.zeros(steps + 1, np.int64)
-        for r in tested.groupBy(at(c)).count().collect():
-            counts[r[c]] = r["count"]
-        beyond[c] = np.cumsum(counts[::-1])[::-1]
+    counts = {"g": np.zeros(steps + 1, np.int64), "most": np.zeros(steps + 1, np.int64)}
+    for r in tested.groupBy(at("g"), at("most")).count().collect():  # 1025 * 1025 rows at most
+        for c in counts:
+            counts[c][r[c]] += r["count"]
+    beyond = {c: np.cumsum(n[::-1])[::-1] for c, n in counts.items()}  # nodes at each step or beyond
     possible = [i / 16 for i in range(1, steps + 1) if beyond["g"][i] and i / 16 >= math.log(max(beyond["most"][i], beyond["g"][i]) / (FALSE * beyond["g"][i]))]
     chosen = min(possible, default=None)
     return [] if chosen is None else tested.where(F.col("g") >= chosen).collect()
