@@ -78,9 +78,10 @@ def main(argv: list[str] | None = None) -> int:
     for name in ("work", "chapter", "verse"):
         b.add_argument(name)
     m = commands.add_parser("morphology")
-    for name in ("dataset", "work", "tei"):
+    for name in ("dataset", "work", "tei", "source"):
         m.add_argument(name)
     m.add_argument("--output", required=True)
+    m.add_argument("--licence-url", default=tei.LICENCE_URL, help="address that the TEI file's licence must have")
     m.add_argument("--accept-noncommercial", action="store_true")
     a = parser.parse_args(argv)
     spark = session()
@@ -91,11 +92,10 @@ def main(argv: list[str] | None = None) -> int:
         around = api.Apparatus(tables).neighbours(a.work, a.chapter, a.verse)
         print(page.render(api.comparison(tables, a.work, a.chapter, a.verse), around))
         return 0
-    with open(a.tei, "rb") as f:
-        words = tei.morphology(spark, f.read(), a.work)
+    with open(a.tei, "rb") as f, open(a.source, "rb") as g:
+        words, source = tei.morphology(spark, f.read(), a.work, a.licence_url), tei.source_words(spark, g.read(), a.work)
     own = tables["versions"].where((F.col("work_id") == a.work) & (F.col("version_kind") == "source")).select("version_id")
     slots = tables["words"].join(own, "version_id").join(tables["unit_sections"], ["version_id", "unit"]).select(F.concat("chapter", F.lit("."), "verse").alias("ref"), "slot", "word")
-    source = slots.select("ref", F.row_number().over(tei.Window.partitionBy("ref").orderBy("slot")).alias("position"), "word")
     dataset.overlay(tei.align(source, words, slots), a.dataset, a.output, accept_noncommercial=a.accept_noncommercial)
     return 0
 

@@ -156,7 +156,7 @@ def chosen(rows: DataFrame, selection: list[object], key: str) -> DataFrame:
     unique = list(dict.fromkeys(selection))
     picks = spark.createDataFrame([(i, str(x)) for i, x in enumerate(unique, 1)], "position int, __key string")
     none_of(picks.join(rows.select(F.col(key).cast("string").alias("__key")), "__key", "left_anti"), f"unknown {key}")
-    return rows.withColumn("__key", F.col(key).cast("string")).join(F.broadcast(picks), "__key").drop("__key")
+    return rows.withColumn("__key", F.col(key).cast("string")).join(picks, "__key").drop("__key")
 
 
 def display_label(otype: Column, name: Column, text: Column) -> Column:

@@ -24,7 +24,7 @@ def labels_of(assigned: DataFrame, vocabulary: DataFrame, key: str, ids: str = "
     """The labels of each document in the order of its ids; an id that the vocabulary lacks is an error."""
     each = assigned.select(key, F.posexplode(ids).alias("position", "id"))
     none_of(dangling(each, vocabulary, "id"), "a label is not in the vocabulary")
-    return each.join(F.broadcast(vocabulary), "id").select(key, F.col("position").cast("long"), "id", "label")
+    return each.join(vocabulary, "id").select(key, F.col("position").cast("long"), "id", "label")
 
 
 def works_by_label(labels: DataFrame, key: str, label: str = "label") -> DataFrame:

@@ -106,7 +106,7 @@ class Apparatus:
         ranks = {v: i for i, v in enumerate(unique(preferred))}
         order = versions.select("version_id").orderBy("version_id").collect()
         listed = versions.sparkSession.createDataFrame([(r[0], ranks.get(r[0], len(ranks) + i)) for i, r in enumerate(order)], "version_id string, preference int")
-        addresses = self.t["sections"].join(F.broadcast(listed), "version_id").withColumn("address", F.struct("chapter", F.col("label").alias("verse")))
+        addresses = self.t["sections"].join(listed, "version_id").withColumn("address", F.struct("chapter", F.col("label").alias("verse")))
         around = apparatus.neighbours(addresses, V, ["verse_index"], "address").where((F.col("chapter") == str(chapter)) & (F.col("label") == str(verse)))
         none_of(around.groupBy("version_id").count().where("count > 1"), "an address occurs twice")
         row = around.orderBy("preference").first()
@@ -138,11 +138,11 @@ class Translations:
 
     def aligned_units(self, version: str) -> DataFrame:
         """Translation unit, source unit, their ids, the source's reference and both texts, in the translation's order."""
-        self.source(version)
+        two = F.col("version_id").isin(version, self.source(version))
         linked = self.t["unit_alignment"].where(F.col("version_id") == version)
         none_of(linked.groupBy("translation_unit").count().where("count > 1"), "a unit with several source units")
-        text = apparatus.exactly_one_primary(self.t["readings"], [*V, "unit"]).where("is_primary").select(*V, "unit", "text")
-        sides = self.t["units"].select(*V, "unit", "unit_id", "source_ref").join(text, [*V, "unit"])
+        text = apparatus.exactly_one_primary(self.t["readings"].where(two), [*V, "unit"]).where("is_primary").select(*V, "unit", "text")
+        sides = self.t["units"].where(two).select(*V, "unit", "unit_id", "source_ref").join(text, [*V, "unit"])
         tr = sides.select(F.col("version_id"), F.col("unit").alias("translation_unit"), F.col("unit_id").alias("translation_unit_id"), F.col("text").alias("translation_text"))
         src = sides.select(F.col("version_id").alias("source_version_id"), F.col("unit").alias("source_unit"), F.col("unit_id").alias("source_unit_id"), "source_ref", F.col("text").alias("source_text"))
         return linked.join(tr, [*V, "translation_unit"]).join(src, ["source_version_id", "source_unit"]).select("translation_unit", "source_unit", "translation_unit_id", "source_unit_id", "source_ref", "translation_text", "source_text").orderBy("translation_unit")

@@ -277,7 +277,7 @@ def positional_threeway_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _classified(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     part = table(spark, sf_dir, "part")
     vocabulary = part.select(F.explode(F.split("p_name", " ")).alias("id")).distinct().withColumn("label", F.upper("id"))
-    return part.where("p_size <= 25").select("p_partkey", F.split("p_name", " ").alias("ids")), vocabulary
+    return part.select("p_partkey", F.split("p_name", " ").alias("ids")), vocabulary
 
 
 def classification_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

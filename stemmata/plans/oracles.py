@@ -115,18 +115,18 @@ c AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_l
 SELECT l_orderkey, position, source_part, word_part, slot_part, p_name, coalesce(source_part = word_part AND source_part = slot_part, false) AS agree
 FROM a FULL JOIN b USING (l_orderkey, position) FULL JOIN c USING (l_orderkey, position)""",
     "classification_lookup": """
-SELECT p_partkey, unnest(range(0, len(w)))::BIGINT AS position, unnest(w) AS id, upper(unnest(w)) AS label FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part WHERE p_size <= 25)""",
+SELECT p_partkey, unnest(range(0, len(w)))::BIGINT AS position, unnest(w) AS id, upper(unnest(w)) AS label FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part)""",
     "works_by_label": """
 SELECT label, count(DISTINCT p_partkey) AS n_works, min(p_partkey) AS first_work, max(p_partkey) AS last_work
-FROM (SELECT p_partkey, upper(unnest(string_split(p_name, ' '))) AS label FROM part WHERE p_size <= 25) GROUP BY 1""",
+FROM (SELECT p_partkey, upper(unnest(string_split(p_name, ' '))) AS label FROM part) GROUP BY 1""",
     "vocabulary_with_unused": """
 WITH v AS (SELECT DISTINCT upper(unnest(string_split(p_name, ' '))) AS label FROM part UNION SELECT DISTINCT upper(p_type) FROM part),
-u AS (SELECT upper(unnest(string_split(p_name, ' '))) AS label FROM part WHERE p_size <= 25)
+u AS (SELECT upper(unnest(string_split(p_name, ' '))) AS label FROM part)
 SELECT v.label, count(u.label) AS n FROM v LEFT JOIN u ON v.label = u.label GROUP BY 1""",
     "metadata_json_fields": "SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.absent') AS absent FROM events",
     "metadata_scalar_count": "SELECT event_type, sum(coalesce(len(json_keys(props)), 0))::BIGINT AS n_scalars, count(*) AS n_documents FROM events GROUP BY 1",
     "work_chooser_labels": """
-WITH s AS (SELECT source, count(DISTINCT trim(coalesce(lang, ''))) AS n, max(trim(coalesce(lang, ''))) AS t FROM documents WHERE n_chars >= 20000 AND trim(coalesce(source, '')) <> '' GROUP BY 1)
+WITH s AS (SELECT source, count(DISTINCT trim(coalesce(lang, ''))) AS n, max(trim(coalesce(lang, ''))) AS t FROM documents WHERE trim(coalesce(source, '')) <> '' GROUP BY 1)
 SELECT source, CASE WHEN n = 1 AND t <> '' THEN t || ' (' || source || ')' ELSE source END AS label FROM s""",
     "edge_type_contract": """
 SELECT 'line_of' AS edge, count(*) AS n_edges, 0::BIGINT AS bad_sources, count(*) FILTER (WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)) AS bad_targets FROM lineitem
@@ -161,7 +161,7 @@ SELECT (SELECT count(*) FROM (SELECT o_orderkey, o_orderstatus FROM orders EXCEP
     "key_set_difference": """
 SELECT DISTINCT o_orderkey AS key, 'left' AS only_in FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
 UNION ALL SELECT DISTINCT l_orderkey, 'right' FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)""",
-    "inventory_counts": " UNION ALL ".join(f"SELECT '{t}' AS otype, count(*) AS n FROM {t}" for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "conversations")),
+    "inventory_counts": " UNION ALL ".join(f"SELECT '{t}' AS otype, count(*) AS n FROM {t}" for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")),
     "content_hash": """
 SELECT source, count(*) AS n, sha256(string_agg(m, chr(10) ORDER BY m)) AS set_sha256 FROM (SELECT source, doc_id || ':' || sha256(text) AS m FROM documents) GROUP BY 1""",
     "latency_summary": """
