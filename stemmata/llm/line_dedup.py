@@ -5,13 +5,12 @@ lower-cased. Keys of at least ``least`` code points found in at least two docume
 lines except in the smallest doc_id that holds them.
 
 1. Documents send the 128-bit hashes of their distinct keys; an aggregate with map-side combine keeps
-   count and smallest doc_id of the hashes found in two documents. A hash found in one document can
-   drop nothing, so the index leaves it out: a probe that meets an empty slot or another fingerprint
-   means the same.
+   count and smallest doc_id of every distinct hash.
 2. Hot hashes, those with over 1/``HOT`` of all counted rows, are ``HOT`` at most; their index goes to
    every task, so that no shard sees their probes.
 3. The other hashes are dealt to shards. A shard builds its minimal perfect hash once, as arrays of
-   64-bit fingerprints, owners and counts, and the probes of all documents stream past it.
+   64-bit fingerprints, owners and counts, and the probes of all documents stream past it. A probe drops its line
+   where the fingerprint is its own, the count two documents at least, and the owner another one.
 4. Hits return to their documents, which drop the lines.
 
 Results by case: null and empty texts are one empty line and stay as they are; rows without a doc_id
@@ -68,8 +67,8 @@ class PerfectHash:
             seed = np.uint64((level * 2 + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))
             return (mixed(h1.view(np.uint64) ^ mixed(h2.view(np.uint64) + seed)) % np.uint64(size)).astype(np.int64)
 
-    def owner(self, h1: np.ndarray, h2: np.ndarray, missing: np.ndarray) -> np.ndarray:
-        """Each key's owner, or the value of ``missing`` where the index doesn't hold the key."""
+    def owner(self, h1: np.ndarray, h2: np.ndarray, missing: np.ndarray, documents: int = 1) -> np.ndarray:
+        """Each key's owner, or the value of ``missing`` where the index doesn't hold the key or counts fewer documents."""
         out, rest = missing.copy(), np.arange(len(h1))
         for level, (bits, ranks, base) in enumerate(self.levels):
             if not len(rest):
@@ -77,7 +76,7 @@ class PerfectHash:
             at = self._at(h1[rest], h2[rest], level, len(bits))
             hit = bits[at]
             slot, who = base + ranks[at[hit]].astype(np.int64), rest[hit]
-            same = self.fingerprints[slot] == h2[who]
+            same = (self.fingerprints[slot] == h2[who]) & (self.counts[slot] >= documents)
             out[who[same]] = self.owners[slot[same]]
             rest = rest[~hit]
         return out
@@ -120,7 +119,7 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if index is None and parts:
                 index, parts = PerfectHash(*(np.concatenate(x) for x in zip(*parts, strict=True))), []
             if index is not None:
-                hit = index.owner(h1, h2, doc) != doc
+                hit = index.owner(h1, h2, doc, documents=2) != doc
                 if hit.any():
                     yield pa.RecordBatch.from_arrays([pa.array(doc[hit]), pa.array(h1[hit])], names=["doc", "h1"])
 
@@ -131,15 +130,15 @@ def dedup(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", least:
     narrow = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text")).where("doc is not null")
     keyed = narrow.mapInArrow(lambda it: _keys(it, least, None), "h1 long, h2 long, doc long")
     counted = keyed.groupBy("h1", "h2").agg(F.min("doc").alias("owner"), F.max("doc").alias("other"), F.count("*").alias("n"))
-    repeated = written(counted.where("owner < other").select("h1", "h2", "owner", "n"), "lines")
-    total, entries = repeated.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    hot_rows = repeated.where(F.col("n") * HOT > total).collect()  # fewer than HOT rows
+    distinct = written(counted.select("h1", "h2", "owner", F.when(F.col("owner") < F.col("other"), F.col("n")).otherwise(1).alias("n")), "lines")
+    total, entries = distinct.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    hot_rows = distinct.where(F.col("n") * HOT > total).collect()  # fewer than HOT rows
     hot = PerfectHash(*(np.array([r[i] for r in hot_rows], np.int64) for i in range(4))) if hot_rows else None
 
     n = partitions(spark)
     shards = 4 * max(n, -(-entries // SHARD))
     shard = F.pmod("h1", F.lit(shards)).cast("int").alias("shard")
-    index = repeated.where(F.col("n") * HOT <= total).select(shard, F.lit(False).alias("probe"), "h1", "h2", F.col("owner").alias("doc"), "n")
+    index = distinct.where(F.col("n") * HOT <= total).select(shard, F.lit(False).alias("probe"), "h1", "h2", F.col("owner").alias("doc"), "n")
     probes = narrow.mapInArrow(lambda it: _keys(it, least, hot), "h1 long, h2 long, doc long").select(shard, F.lit(True).alias("probe"), "h1", "h2", "doc", F.lit(0).cast("long").alias("n"))
     stream = index.unionByName(probes).repartition(max(n, shards // 4), "shard").sortWithinPartitions("shard", "probe")
     drops = stream.mapInArrow(_probe, "doc long, h1 long").groupBy("doc").agg(F.collect_set("h1").alias("__drops"))
