@@ -6,9 +6,14 @@ is the sum of its leaves'. A segment tree keeps the sums. An edit re-encodes the
 and a neighbour only if the edit comes so near that the cut between them might no longer hold; the sums
 above them are updated.
 
+``counted`` makes trees for the edits of the same row. ``kept`` stores the leaves of all documents as a table, and
+``edited`` takes that table with a table of later edits: only documents with edits are shuffled, their trees are
+built from the stored numbers, and only the leaves that edits touch are encoded.
+
 Results by case: a null text has no tokens and takes no edit; an empty text has none; edits must be sorted,
-apart from each other and inside the text, else ValueError; repeated rows are counted each; extra columns
-stay, and columns named like a result column are replaced.
+apart from each other and inside the text, else ValueError; repeated rows are counted each (trees of ``kept`` need
+one row a doc_id, else ValueError); an empty table gives no row; extra columns stay, and columns named like a
+result column are replaced.
 """
 
 from __future__ import annotations
@@ -44,13 +49,24 @@ class TokenTree:
     """Leaves of a text with their numbers of tokens, and a heap of sums over them."""
 
     def __init__(self, text: str, count: Callable[[str], int], leaf: int = LEAF):
-        self.count, starts = count, cuts(text, leaf)
-        self.leaves = [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)], strict=True)]
+        starts = cuts(text, leaf)
+        leaves = [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)], strict=True)]
+        self._build(leaves, list(map(count, leaves)), count)
+
+    @classmethod
+    def of(cls, leaves: list[str], tokens: list[int], count: Callable[[str], int]) -> TokenTree:
+        """The tree of stored leaves and their numbers of tokens: nothing is encoded."""
+        tree = cls.__new__(cls)
+        tree._build(leaves or [""], tokens or [0], count)
+        return tree
+
+    def _build(self, leaves: list[str], tokens: list[int], count: Callable[[str], int]) -> None:
+        self.count, self.leaves = count, leaves
         self.size = 1 << (len(self.leaves) - 1).bit_length()
         self.tokens = [0] * (2 * self.size)
         self.chars = [0] * (2 * self.size)
-        for i, x in enumerate(self.leaves):
-            self.tokens[self.size + i], self.chars[self.size + i] = count(x), len(x)
+        for i, (x, n) in enumerate(zip(leaves, tokens, strict=True)):
+            self.tokens[self.size + i], self.chars[self.size + i] = n, len(x)
         for i in range(self.size - 1, 0, -1):
             self.tokens[i] = self.tokens[2 * i] + self.tokens[2 * i + 1]
             self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
@@ -135,3 +151,62 @@ def counted(docs: DataFrame, tokenizer: str, *, edits: Callable[[str], list[Edit
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[f"`{c}`" for c in names]).schema.fields]
     return docs.select(*[F.col(f"`{c}`") for c in used]).mapInArrow(run, ", ".join(fields + [f"{c} long" for c in RESULT]))
+
+
+#: A row of the table of leaves: ``leaf`` orders a document's leaves.
+LEAVES = "doc_id long, leaf int, text string, n_tokens long"
+
+
+def kept(docs: DataFrame, tokenizer: str, *, text: str = "text", doc_id: str = "doc_id", leaf: int = LEAF) -> DataFrame:
+    """The leaves of all documents with a doc_id, to be stored; a null or empty text is one empty leaf."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = _counter(tokenizer)
+        for b in batches:
+            rows = []
+            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                tree = TokenTree(t or "", count, leaf)
+                rows += [(d, i, x, tree.tokens[tree.size + i]) for i, x in enumerate(tree.leaves)]
+            yield _leaves(rows)
+
+    return docs.select(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`")).where(F.col(f"`{doc_id}`").isNotNull()).mapInArrow(run, LEAVES)
+
+
+def edited(leaves: DataFrame, edits: DataFrame, tokenizer: str) -> DataFrame:
+    """The table of leaves after ``edits`` (doc_id, at, end, new), places in terms of the stored text.
+
+    Documents without edits pass as they are. Edits of unknown documents change nothing.
+    """
+    touched = edits.select("doc_id").distinct()
+    cut = "array<struct<at: long, end: long, new: string>>"
+    changes = edits.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(F.col("at").cast("long").alias("at"), F.col("end").cast("long").alias("end"), "new"))).cast(cut).alias("edits"))
+    trees = leaves.join(touched, "doc_id", "left_semi").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("leaf", "text", "n_tokens"))).alias("leaves"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = _counter(tokenizer)
+        for b in batches:
+            rows = []
+            for d, own, changed in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if len({x["leaf"] for x in own}) < len(own):
+                    raise ValueError(f"document {d} has two trees")
+                tree = TokenTree.of([x["text"] for x in own], [x["n_tokens"] for x in own], count)
+                tree.apply([(x["at"], x["end"], x["new"]) for x in changed])
+                rows += [(d, i, x, tree.tokens[tree.size + i]) for i, x in enumerate(tree.leaves)]
+            yield _leaves(rows)
+
+    return leaves.join(touched, "doc_id", "left_anti").select("doc_id", "leaf", "text", "n_tokens").unionAll(trees.join(changes, "doc_id").select("doc_id", "leaves", "edits").mapInArrow(run, LEAVES))
+
+
+def totals(leaves: DataFrame) -> DataFrame:
+    """(doc_id, n_tokens) of a table of leaves."""
+    return leaves.groupBy("doc_id").agg(F.sum("n_tokens").alias("n_tokens"))
+
+
+def _counter(tokenizer: str) -> Callable[[str], int]:
+    encode = encoder(tokenizer)
+    return lambda x: len(encode(x)) // 4 if x else 0
+
+
+def _leaves(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) if rows else [()] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.string(), pa.int64()), strict=True)], names=["doc_id", "leaf", "text", "n_tokens"])

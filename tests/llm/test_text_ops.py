@@ -348,6 +348,36 @@ def test_counts_follow_edits(t, changes):
     assert tree.text == t and tree.total == count(t)
 
 
+def test_kept_trees_follow_later_edits(spark):
+    rng = np.random.default_rng(3)
+    texts = {i: " ".join(rng.choice(["one", "two's", "3,4", "five  six", "\n", "ñandú"], int(rng.integers(1, 600)))) for i in range(12)} | {20: "", 21: None}
+    docs = documents(spark, [*texts.items(), (None, "no id")])
+    leaves = token_counts.kept(docs, PATH, leaf=32)
+    count = lambda x: len(packing.encoder(PATH)(x)) // 4 if x else 0
+    assert {r.doc_id: r.n_tokens for r in token_counts.totals(leaves).collect()} == {i: count(t) for i, t in texts.items()}
+    rows, want = [], dict(texts)
+    for _ in range(2):  # one batch of edits after another, each on what is stored
+        rows = []
+        for i in range(0, 12, 2):
+            t = want[i]
+            a, b = sorted(map(int, rng.integers(0, len(t) + 1, 2)))
+            b = min(b, a + 9)
+            rows.append((i, a, b, str(rng.choice(["", " new words ", "x"]))))
+            want[i] = t[:a] + rows[-1][3] + t[b:]
+        rows.append((20, 0, 0, "text at last"))
+        want[20] = "text at last" + (want[20] or "")
+        rows.append((99, 0, 0, "nobody"))
+        leaves = token_counts.edited(leaves, spark.createDataFrame(rows, "doc_id long, at long, end long, new string"), PATH)
+        stored = leaves.collect()
+        leaves = spark.createDataFrame(stored, token_counts.LEAVES)
+        assert {r.doc_id: r.n_tokens for r in token_counts.totals(leaves).collect()} == {i: count(t) for i, t in want.items()}
+        for i, t in want.items():
+            assert "".join(r.text for r in sorted((r for r in stored if r.doc_id == i), key=lambda r: r.leaf)) == (t or "")
+    assert token_counts.kept(docs.where("false"), PATH).count() == 0
+    with pytest.raises(Exception, match="two trees"):
+        token_counts.edited(leaves.unionAll(leaves), spark.createDataFrame([(2, 0, 0, "x")], "doc_id long, at long, end long, new string"), PATH).collect()
+
+
 def test_edits_encode_a_small_part_again():
     t = "word " * 20000 + "me@example.com tail"
     tree = token_counts.TokenTree(t, lambda x: len(packing.encoder(PATH)(x)) // 4)
