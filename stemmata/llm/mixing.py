@@ -6,7 +6,7 @@ inverse of the Poisson distribution with that rate at a number in [0, 1) that on
 doc_id decide. Copies are dealt by a hash and sorted by it within partitions: a global random order
 that can be made again.
 
-The rates are one row per source: broadcast if there are ``BROADCAST`` at most, otherwise joined with
+The distribution function is made once for each source. The rates are one row per source: broadcast if there are ``BROADCAST`` at most, otherwise joined with
 the large sources' rows spread by salt.
 
 Results by case: a null source is a source of its own; a source without a weight (or weight 0) gives no
@@ -39,25 +39,26 @@ def _unit(digest: F.Column) -> F.Column:
     return F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("long").cast("double") / float(16**_DIGITS)
 
 
-def _poisson(rate: F.Column, key: F.Column) -> F.Column:
-    """Inverse of the Poisson distribution at the number of ``key``; in terms of at most _TERM for large rates."""
-    def term(part: F.Column, i: F.Column) -> F.Column:
-        u = _unit(F.md5(F.concat(key, F.lit(":"), i.cast("string"))))
-        # state: (k, probability of k, distribution function at k); advances while the function is not above u
-        start = F.struct(F.lit(0).alias("k"), F.exp(-part).alias("p"), F.exp(-part).alias("c"))
+def _distribution(part: F.Column) -> F.Column:
+    """The Poisson distribution function with this rate at 0 .. _LENGTH - 1, as an array."""
+    start = F.struct(F.array(F.exp(-part)).alias("c"), F.exp(-part).alias("p"))
 
-        def step(s: F.Column, k: F.Column) -> F.Column:
-            p = s["p"] * part / k.cast("double")
-            return F.when(s["c"] > u, s).otherwise(F.struct(k.cast("int").alias("k"), p.alias("p"), (s["c"] + p).alias("c")))
+    def step(s: F.Column, k: F.Column) -> F.Column:
+        p = s["p"] * part / k.cast("double")
+        return F.struct(F.concat(s["c"], F.array(F.element_at(s["c"], -1) + p)).alias("c"), p.alias("p"))
 
-        return F.aggregate(F.sequence(F.lit(1), F.lit(_LENGTH)), start, step, lambda s: s["k"])
+    return F.aggregate(F.sequence(F.lit(1), F.lit(_LENGTH - 1)), start, step, lambda s: s["c"])
 
-    parts = F.greatest(F.ceil(rate / _TERM), F.lit(1)).cast("int")
-    return F.aggregate(F.sequence(F.lit(1), parts), F.lit(0), lambda n, i: n + term(rate / parts, i))
+
+def _draws(parts: F.Column, distribution: F.Column, key: F.Column) -> F.Column:
+    """Sum of as many inverses of the distribution function as the rate has parts, each at a number of ``key``."""
+    u = lambda i: _unit(F.md5(F.concat(key, F.lit(":"), i.cast("string"))))
+    numbers = F.transform(F.sequence(F.lit(1), parts), u)
+    return F.aggregate(numbers, F.lit(0), lambda n, x: n + F.size(F.filter(distribution, lambda c: c <= x)))
 
 
 def rates(docs: DataFrame, weights: dict[str | None, float] | None, *, source: str = "source", text: str = "text", measure: str = "docs") -> DataFrame:
-    """(__source, __rate) for each source. ``measure``: docs or chars, the unit of weights and sizes."""
+    """(__source, __parts, __distribution) for each source: its repetition rate in equal parts, and a part's distribution function. ``measure``: docs or chars, the unit of weights and sizes."""
     amount = F.count("*") if measure == "docs" else F.sum(F.coalesce(F.length(f"`{text}`"), F.lit(0)))
     sizes = docs.groupBy(F.col(f"`{source}`").alias("__source")).agg(amount.cast("long").alias("size"))
     if weights is None:
@@ -69,7 +70,7 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None, *, source: s
     totals = sizes.agg(F.sum("size").alias("total"), F.sum("weight").alias("weights"))
     rate = F.when((F.col("size") > 0) & (F.col("weights") > 0), F.col("weight") / F.col("weights") * F.col("total") / F.col("size")).otherwise(0.0)
     t = totals.first()
-    return sizes.withColumn("total", F.lit(t.total or 0).cast("double")).withColumn("weights", F.lit(t.weights or 0.0).cast("double")).select("__source", rate.alias("__rate"))
+    return sizes.withColumn("total", F.lit(t.total or 0).cast("double")).withColumn("weights", F.lit(t.weights or 0.0).cast("double")).select("__source", rate.alias("__rate")).withColumn("__parts", F.greatest(F.ceil(F.col("__rate") / _TERM), F.lit(1)).cast("int")).select("__source", "__parts", _distribution(F.col("__rate") / F.col("__parts")).alias("__distribution"))
 
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, *, source: str = "source", doc_id: str = "doc_id", text: str = "text", measure: str = "docs", seed: str = SEED) -> DataFrame:
@@ -83,7 +84,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, *, sour
         salted = rate.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         drawn = found.withColumn("__salted", F.pmod(F.xxhash64(f"`{doc_id}`"), F.lit(SALTS)).cast("int")).join(salted, F.col("__with").eqNullSafe(F.col("__source")) & (F.col("__salted") == F.col("__salt")))
     key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")))
-    drawn = drawn.withColumn("copies", _poisson(F.col("__rate"), key)).where("copies > 0")
+    drawn = drawn.withColumn("copies", _draws(F.col("__parts"), F.col("__distribution"), key)).where("copies > 0")
     copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     keyed = copies.withColumn("mix_key", F.md5(F.concat(key, F.lit("#"), F.col("copy").cast("string"))))
     out = [*[F.col(f"`{c}`") for c in names], "copy", "copies", "mix_key"]
