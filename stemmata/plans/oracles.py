@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import editions
 from .projections import ATTESTATIONS, MATRIX, UNITS, WITNESSES
 
 LINE_ORDER = "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
@@ -177,3 +178,5 @@ SELECT p_partkey, '/compare?work=' || {URL.format("p_brand")} || '&chapter=' ||
 WITH e AS (SELECT page_id, replace(replace(replace(replace(replace(coalesce(html, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') AS s FROM pages)
 SELECT page_id, length(s) AS n_chars, md5(s) AS md5 FROM e""",
 }
+
+SQL |= editions.SQL
