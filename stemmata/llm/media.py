@@ -34,6 +34,8 @@ from .text import as_bytes
 ROW = 576
 FILL = 255
 LEVEL = 4
+#: A digest is hot if over 1/HOT of all references name it, so HOT digests at most are.
+HOT = 4096
 MEDIA = {"img", "video", "audio", "source", "embed"}
 #: Elements whose ends and starts end a text.
 BLOCKS = {"p", "div", "article", "section", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "table", "tr", "td", "th", "br", "hr", "blockquote", "pre", "figure", "figcaption", "nav", "header", "footer", "main", "aside", "body"}
@@ -152,14 +154,23 @@ def interleave(pages: DataFrame, *, page: str = "html") -> DataFrame:
 def resolve(sequences: DataFrame, payloads: DataFrame) -> DataFrame:
     """One row a media reference: the columns of ``sequences``, position, caption, ref, digest, and those of the digest's payload.
 
-    ``payloads`` has a column digest; of several rows of a digest one counts.
+    ``payloads`` has a column digest; of several rows of a digest one counts. Its columns that are named like
+    those of the references are left out. References to a digest that many of them share, and those without a
+    digest, are dealt over several tasks, and such a digest's payload goes to each of these.
     """
     own = [c for c in sequences.columns if c != "segments"]
     refs = sequences.select(*[f"`{c}`" for c in own], F.explode(F.filter("segments", lambda s: s["kind"] == "media")).alias("__s"))
     refs = refs.select(*[f"`{c}`" for c in own], F.col("__s.position").alias("position"), F.col("__s.text").alias("caption"), F.col("__s.ref").alias("ref"), F.col("__s.digest").alias("digest"))
     rest = [c for c in payloads.columns if c != "digest" and c not in refs.columns]
-    one = payloads.groupBy("digest").agg(*[F.first(f"`{c}`").alias(c) for c in rest])
-    return refs.join(one, "digest", "left")
+    refs = written(refs, "references")
+    total = refs.count()
+    sizes = refs.where("digest is not null").groupBy("digest").agg(F.count("*").alias("__n")).where(F.col("__n") * HOT > total)
+    shares = F.broadcast(written(sizes.select("digest", F.ceil(F.col("__n") * HOT / max(total, 1)).cast("int").alias("__shares")), "hot-digests"))  # fewer than HOT rows
+    dealt = lambda n: F.coalesce(F.pmod(F.monotonically_increasing_id(), n).cast("int"), F.lit(0))
+    refs = refs.join(shares, "digest", "left").withColumn("__share", dealt(F.when(F.col("digest").isNull(), HOT).otherwise(F.col("__shares")))).drop("__shares")
+    one = payloads.where("digest is not null").groupBy("digest").agg(*[F.first(f"`{c}`").alias(c) for c in rest])
+    one = one.join(shares, "digest", "left").withColumn("__share", F.explode(F.sequence(F.lit(0), F.coalesce("__shares", F.lit(1)) - 1))).drop("__shares")
+    return refs.join(one, ["digest", "__share"], "left").drop("__share")
 
 
 # --- payloads -------------------------------------------------------------------------------

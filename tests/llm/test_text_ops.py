@@ -392,3 +392,15 @@ def test_counted_rows(spark):
     rows = documents(spark, [(1, "a  b"), (2, None), (3, ""), (None, "x@y.org")])
     got = {r.doc_id: (r.n_tokens, r.n_edits, r.n_tokens_after) for r in token_counts.counted(rows, PATH).collect()}
     assert got[2] == got[3] == (0, 0, 0) and got[1][1] == 1 and got[None][1] == 1
+
+
+def test_payloads_of_shared_digests_reach_every_reference(spark):
+    kind = "id long, segments array<struct<position: int, kind: string, text: string, ref: string, digest: string>>"
+    ref = lambda i, d: (0, "media", f"caption {i}", "x", d)
+    digests = [None if i % 10 == 0 else "hot" if i % 3 else f"d{i}" for i in range(600)]
+    sequences = spark.createDataFrame([(i, [ref(i, d)]) for i, d in enumerate(digests)], kind).repartition(3)
+    payloads = spark.createDataFrame([("hot", 1), ("hot", 1), (None, 9)] + [(d, 2) for d in digests if d and d != "hot" and d != "d3"], "digest string, size int")
+    found = {r.id: (r.caption, r.digest, r["size"]) for r in media.resolve(sequences, payloads).collect()}
+    want = {i: (f"caption {i}", d, None if d in (None, "d3") else 1 if d == "hot" else 2) for i, d in enumerate(digests)}
+    assert found == want and media.resolve(sequences, payloads).count() == 600
+    assert media.resolve(sequences.limit(0), payloads).count() == 0
