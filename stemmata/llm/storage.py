@@ -35,6 +35,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keep_until_exit(spark: SparkSession, path: str) -> str:
+    """Note a folder that the process shall delete at its end, as it does with written tables."""
+    _written.append((spark, path))
+    return path
+
+
 def drop_written() -> None:
     """Delete every table this process has written; the results that read them must be done."""
     while _written:
