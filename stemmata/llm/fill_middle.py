@@ -54,9 +54,9 @@ class Checkpoints:
     """Of every so many units the number, the byte and the code point where it begins; and the text's sums."""
 
     data: bytes
-    units: list[int] = field(default_factory=lambda: [0])
-    at_byte: list[int] = field(default_factory=lambda: [0])
-    at_point: list[int] = field(default_factory=lambda: [0])
+    units: list[int] = field(default_factory=list)
+    at_byte: list[int] = field(default_factory=list)
+    at_point: list[int] = field(default_factory=list)
     n_units: int = 0
     n_points: int = 0
     scanned: int = 0  #: bytes that ``place`` has looked at
