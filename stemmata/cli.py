@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from .operators import catalog
 from .plans import api, edition
 from .session import session
-from .sinks import dataset, page, provenance
+from .sinks import dataset, page, provenance, release
 from .sources import recount, side, tei, xml
 from .sources.dataset import check_folder, git_clean, git_commit, load_all
+from .storage import kept
 
 TABLES = ("works", "versions", "units", "readings", "words", "variant_words", "sections", "unit_sections", "manuscripts", "reading_witness", "unit_alignment")
 
@@ -51,10 +52,13 @@ def convert(spark, source: str, output: str, report: str | None, classifications
     parity = edition.source_parity(built, recount.inventory(files))
     detected, clean = git_commit(source), git_clean(source)
     claims = provenance.describe(provenance.REPOSITORY, commit or detected or "", provenance.LOOKED_UP, detected=detected, clean=clean)
+    known = claims["commit"] if claims["identity_status"] == provenance.VERIFIED else ""
+    built.tables["versions"] = edition.with_generation(built["versions"], known)
+    built.tables["anchors"] = kept(edition.anchors(built), "anchors")
     intros = os.path.join(source, "intros.json")
     slots = built["words"].select("version_id", "slot").join(built["versions"].select("version_id", "work_id"), "version_id")
     more, side_checks = side_tables(spark, files, slots, intros if os.path.isfile(intros) else None, classifications, claims)
-    checks = edition.checks(built).unionByName(parity.where("not ok").agg(F.count("*").alias("n_broken")).select(F.lit("source_parity").alias("check"), "n_broken", (F.col("n_broken") == 0).alias("ok"))).unionByName(edition.record_parity(built, recount.records(files))).unionByName(side_checks).persist()
+    checks = edition.checks(built).unionByName(parity.where("not ok").agg(F.count("*").alias("n_broken")).select(F.lit("source_parity").alias("check"), "n_broken", (F.col("n_broken") == 0).alias("ok"))).unionByName(edition.record_parity(built, recount.records(files))).unionByName(edition.ownership_checks(built, known)).unionByName(side_checks).persist()
     where = dataset.report_path(report or f"{output}.report.json", output)
     result = dataset.report(checks, parity.groupBy("item").agg(F.sum("n_edition")), where, upstream_commit=detected, upstream_clean=clean, provenance=claims)
     if result["failed_checks"]:
@@ -83,8 +87,17 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--output", required=True)
     m.add_argument("--licence-url", default=tei.LICENCE_URL, help="address that the TEI file's licence must have")
     m.add_argument("--accept-noncommercial", action="store_true")
+    d = commands.add_parser("differences", help="members by which one archive differs from another; 1 if there are any")
+    d.add_argument("expected")
+    d.add_argument("found")
+    d.add_argument("--folder", default="", help="where in the second archive the first one's members stand")
     a = parser.parse_args(argv)
     spark = session()
+    if a.command == "differences":
+        found = release.compared(spark, a.expected, a.found, folder=a.folder).orderBy("member").toLocalIterator()
+        lines = [f"{r.kind}\t{r.member}" for r in found]
+        print("\n".join(lines))
+        return int(bool(lines))
     if a.command == "convert":
         return convert(spark, a.source, a.output, a.report, a.classifications, a.upstream_commit)
     tables = load_all(spark, a.dataset, TABLES)

@@ -7,7 +7,12 @@ import json
 import os
 import zipfile
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from ..functions.text import git_sha, not_blank, path_component
+from ..operators.guards import none_of
+from ..sources import archives
 from ..sources.dataset import archive_members
 
 #: Fixed value: the earliest time that archives can hold.
@@ -83,6 +88,33 @@ def validate(value: dict, archive_path: str, report: dict) -> None:
         raise ValueError("the release differs from its manifest")
 
 
+def compared(spark: SparkSession, expected: str, found: str, *, without: str = "", folder: str = "") -> DataFrame:
+    """(member, kind, expected_sha256, found_sha256) of the members by which one archive differs from another, read by tasks.
+
+    ``folder``: where in the second archive the first one's members stand, as an archive that adds an application has its
+    data; what it holds elsewhere is left out. ``without``: a pattern of members of the second that need no partner.
+    """
+    first, second = archives.read(spark, expected), archives.read(spark, found)
+    if folder:
+        inside = f"{folder.strip('/')}/"
+        second = second.where(F.col("member").startswith(inside) | F.col("problem").isNotNull()).withColumn("member", F.replace("member", F.lit(inside), F.lit("")))
+    if without:
+        second = second.where(~F.col("member").rlike(without))
+    return archives.differences(first, second, by=[])
+
+
+def same_members(spark: SparkSession, expected: str, found: str, **how: str) -> None:
+    """ValueError that names members unless the two archives hold the same."""
+    none_of(compared(spark, expected, found, **how), f"{found} differs from {expected}")
+
+
+def listed(spark: SparkSession, value: dict) -> DataFrame:
+    """The members that a manifest lists, as ``archives.read`` gives those of its archive."""
+    assets = value["assets"]
+    rows = [(assets["name"], m["name"], m["bytes"], None, m["sha256"], None) for m in assets["members"]]
+    return spark.createDataFrame(rows, archives.ROWS)
+
+
 def stage(files: dict[str, str], folder: str, report: dict, **identity_: str) -> dict[str, str]:
     """Archive, report and manifest of a release in a folder that is empty or new."""
     os.makedirs(folder, exist_ok=True)

@@ -24,8 +24,13 @@ def _folder(spark: SparkSession) -> str:
     return "file://" + _own[0]
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """The URI of a folder of the cluster's shared one that nothing else uses."""
+    return f"{_folder(spark)}/stemmata/{name}-{uuid.uuid4().hex}"
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
-    path = f"{_folder(df.sparkSession)}/stemmata/{name}-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
