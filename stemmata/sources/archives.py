@@ -32,6 +32,8 @@ PART = 1 << 20
 #: The earliest time that archives can hold, and a plain file that all may read.
 EPOCH, MODE = (1980, 1, 1, 0, 0, 0), 0o100644
 ROWS_AT_ONCE = 5_000
+#: Bytes of the end record that every archive has.
+SMALLEST = 22
 
 MISSING, SURPLUS, CHANGED, BROKEN = "missing", "surplus", "changed", "broken"
 
@@ -102,6 +104,8 @@ class _Reader(DataSourceReader):
         rows: list[tuple] = []
         try:
             with store.open_input_file(partition.path) as source:
+                if source.size() < SMALLEST:
+                    raise zipfile.BadZipFile("too short")
                 for row in members(source):
                     rows.append((partition.name, *row))
                     if len(rows) >= ROWS_AT_ONCE:
