@@ -36,9 +36,11 @@ class Apparatus:
         none_of(own.groupBy("witness").count().where("count > 1"), "a manuscript is declared twice")
         return own.orderBy("witness")
 
-    def attestations(self, version: str | None = None) -> DataFrame:
-        """(version_id, unit, reading, witness, text) of witnesses that are manuscripts."""
+    def attestations(self, version: str | None = None, unit: int | None = None, witness: str | None = None) -> DataFrame:
+        """(version_id, unit, reading, witness, text) of witnesses that are manuscripts; what is not asked for is neither read nor checked."""
         cited = self.t["reading_witness"]
+        for column, value in (("unit", unit), ("witness", witness)):
+            cited = cited if value is None else cited.where(F.col(column) == value)
         real = apparatus.without_synthetic(self.t["manuscripts"]).select(*V, "witness")
         if version is not None:
             cited, real = cited.where(F.col("version_id") == version), real.where(F.col("version_id") == version)
@@ -70,17 +72,17 @@ class Apparatus:
     def unit(self, version: str, unit: int) -> DataFrame:
         """The readings of one unit with their witnesses."""
         self._source(version)
-        return apparatus.listing(self.attestations(version).where(F.col("unit") == unit), [*V, "unit", "reading"])
+        return apparatus.listing(self.attestations(version, unit), [*V, "unit", "reading"])
 
     def state(self, version: str, unit: int, witness: str) -> str:
         exists(self.witnesses(version).where(F.col("witness") == witness), f"{witness} is no witness of {version}")
-        row = self.attestations(version).where((F.col("unit") == unit) & (F.col("witness") == witness)).first()
+        row = self.attestations(version, unit, witness).first()
         return apparatus.UNATTESTED if row is None else apparatus.OMISSION if not row.text else apparatus.READING
 
     def witness_text(self, version: str, witness: str, units: Iterable[int] | None = None) -> str:
         """A witness' text through the version, or through ``units`` in their order."""
         exists(self.witnesses(version).where(F.col("witness") == witness), f"{witness} is no witness of {version}")
-        said = self.attestations(version).where(F.col("witness") == witness)
+        said = self.attestations(version, witness=witness)
         order = None if units is None else said.sparkSession.createDataFrame(list(enumerate(units)), "position int, unit int")
         row = apparatus.witness_text(said, ["unit"], units=order).first()
         return row.text if row else ""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.unicode import slug
 from ..operators import alignment, apparatus, audit, catalog, numbering, sections
-from . import codices, editions, reports
+from . import codices, editions, inventories, reports
 from .projections import attestations, table, units, witnesses
 
 LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -443,4 +443,4 @@ ALL: list[Query] = [
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in [*ALL, *editions.ALL, *reports.ALL, *codices.ALL]}
+    return {f.__name__: f for f in [*ALL, *editions.ALL, *reports.ALL, *codices.ALL, *inventories.ALL]}

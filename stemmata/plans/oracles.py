@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import codices, editions, reports
+from . import codices, editions, inventories, reports
 from .projections import ATTESTATIONS, MATRIX, UNITS, WITNESSES
 
 LINE_ORDER = "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
@@ -179,4 +179,4 @@ WITH e AS (SELECT page_id, replace(replace(replace(replace(replace(coalesce(html
 SELECT page_id, length(s) AS n_chars, md5(s) AS md5 FROM e""",
 }
 
-SQL |= editions.SQL | reports.SQL | codices.SQL
+SQL |= editions.SQL | reports.SQL | codices.SQL | inventories.SQL

@@ -48,6 +48,29 @@ def write(tables: dict[str, DataFrame], target: str, *, checks: DataFrame | None
         shutil.rmtree(stage, ignore_errors=True)
 
 
+#: Buckets of a stored table; how a table is sorted within them, of these columns those that it has.
+BUCKETS = 64
+SORTED = ("version_id", "unit", "reading", "position", "witness", "div", "chapter", "label")
+
+
+def store(tables: dict[str, DataFrame], prefix: str, *, folder: str | None = None, by: str = "version_id", buckets: int = BUCKETS) -> None:
+    """Keep ``tables`` as tables ``prefix_name`` of the catalogue, in buckets by version where they have versions, with statistics.
+
+    A question for one version then reads one bucket of each table. With ``spark.sql.requireAllClusterKeysForCoPartition`` off, joins
+    by version and more meet bucket by bucket, without a shuffle. Files stand in ``folder``, or else in the warehouse.
+    """
+    for name, df in tables.items():
+        order = [c for c in SORTED if c in df.columns]
+        if by in df.columns:
+            writer = df.repartition(buckets, by).write.bucketBy(buckets, by).sortBy(*order)
+        else:
+            writer = df.write
+        writer = writer.mode("overwrite").format("parquet").option("compression", "zstd")
+        table = f"{prefix}_{name}"
+        (writer.option("path", f"{folder}/{name}") if folder else writer).saveAsTable(table)
+        df.sparkSession.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(order)}" if order else f"ANALYZE TABLE {table} COMPUTE STATISTICS")
+
+
 def _install(stage: str, target: str, old: str, after_install: Callable[[], None] | None) -> None:
     had = os.path.exists(target)
     if had:

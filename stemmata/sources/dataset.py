@@ -32,6 +32,11 @@ def load_all(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str
     return {name: spark.read.parquet(f"{folder}/{name}").persist() for name in names}
 
 
+def load_tables(spark: SparkSession, prefix: str, names: Iterable[str]) -> dict[str, DataFrame]:
+    """Tables that ``sinks.dataset.store`` has kept: nothing is read before a question, and then what it is about."""
+    return {name: spark.table(f"{prefix}_{name}") for name in names}
+
+
 def check_folder(folder: str, *, reviewed_files: Iterable[str] = (), reviewed_folders: Iterable[str] = ("backups", "drafts"), side_files: Iterable[str] = ("intros.json",)) -> list[str]:
     """The XML files of a source folder, sorted. Links, and anything that nobody has reviewed, are errors."""
     known, names, odd = {*reviewed_files, *side_files}, [], []
