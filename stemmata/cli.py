@@ -45,7 +45,7 @@ def side_tables(spark, files: DataFrame, slots: DataFrame, intros: str | None, c
     return tables, spark.createDataFrame([(k, int(not ok), ok) for k, ok in results.items()], "check string, n_broken long, ok boolean")
 
 
-def convert(spark, source: str, output: str, report: str | None, classifications: str | None = None, commit: str | None = None) -> int:
+def convert(spark, source: str, output: str, report: str | None, classifications: str | None = None, commit: str | None = None, dictionary: str | None = None) -> int:
     check_folder(source, reviewed_files=(".TJob.xml.un~", "grammateus.dtd", "tags"))
     files = xml.files(spark, source)
     built = edition.build(xml.read_editions(spark, source))
@@ -60,11 +60,14 @@ def convert(spark, source: str, output: str, report: str | None, classifications
     more, side_checks = side_tables(spark, files, slots, intros if os.path.isfile(intros) else None, classifications, claims)
     checks = edition.checks(built).unionByName(parity.where("not ok").agg(F.count("*").alias("n_broken")).select(F.lit("source_parity").alias("check"), "n_broken", (F.col("n_broken") == 0).alias("ok"))).unionByName(edition.record_parity(built, recount.records(files))).unionByName(edition.ownership_checks(built, known)).unionByName(side_checks).persist()
     where = dataset.report_path(report or f"{output}.report.json", output)
-    result = dataset.report(checks, parity.groupBy("item").agg(F.sum("n_edition")), where, upstream_commit=detected, upstream_clean=clean, provenance=claims)
+    result = dataset.report(checks, parity.groupBy("item").agg(F.sum("n_edition")), where, upstream_commit=detected, upstream_clean=clean, provenance=claims, capabilities=edition.capabilities(built))
     if result["failed_checks"]:
         print("failed: " + ", ".join(result["failed_checks"]), file=sys.stderr)
         return 1
-    dataset.write(built.tables | more, output, checks=checks)
+    tables = built.tables | more
+    if dictionary:
+        dataset.check_dictionary(dictionary, {n: df.schema for n, df in tables.items()})
+    dataset.write(tables, output, checks=checks)
     return 0
 
 
@@ -77,6 +80,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--report")
     c.add_argument("--classifications", help="a JSON file of genres and figures of works; needs intros.json in the source folder")
     c.add_argument("--upstream-commit")
+    c.add_argument("--dictionary", help="a data dictionary that must be that of the dataset")
     b = commands.add_parser("compare")
     b.add_argument("dataset")
     for name in ("work", "chapter", "verse"):
@@ -99,7 +103,7 @@ def main(argv: list[str] | None = None) -> int:
         print("\n".join(lines))
         return int(bool(lines))
     if a.command == "convert":
-        return convert(spark, a.source, a.output, a.report, a.classifications, a.upstream_commit)
+        return convert(spark, a.source, a.output, a.report, a.classifications, a.upstream_commit, a.dictionary)
     tables = load_all(spark, a.dataset, TABLES)
     if a.command == "compare":
         around = api.Apparatus(tables).neighbours(a.work, a.chapter, a.verse)

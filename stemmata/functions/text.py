@@ -24,10 +24,6 @@ ASCII_WHITE = r"[\x20\x09-\x0D]"
 # --- columns --------------------------------------------------------------------------------
 
 
-def text_or_empty(c: Column) -> Column:
-    return F.coalesce(c, F.lit(""))
-
-
 def plain_text(c: Column) -> Column:
     """White space runs as one space, none at the ends; no zero-width spaces."""
     flat = F.regexp_replace(F.replace(c, F.lit(ZERO_WIDTH), F.lit("")), r"(?U)\s+", " ")
@@ -59,11 +55,6 @@ def integer_or(c: Column, fallback: Column | int) -> Column:
     return F.coalesce(c.try_cast("int"), fallback if isinstance(fallback, Column) else F.lit(fallback))
 
 
-def ratio(part: Column, whole: Column) -> Column:
-    """Share of a whole; of nothing it is 1."""
-    return F.when(whole == 0, F.lit(1.0)).otherwise(part / whole)
-
-
 def html_escaped(c: Column) -> Column:
     for raw, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
         c = F.replace(c, F.lit(raw), F.lit(safe))

@@ -31,16 +31,3 @@ def lexical_surface(values: pd.Series) -> pd.Series:
 @F.pandas_udf(StringType())
 def plain_text(values: pd.Series) -> pd.Series:
     return values.map(text.plain, na_action="ignore")
-
-
-@F.pandas_udf(StringType())
-def strict_json_error(values: pd.Series) -> pd.Series:
-    """What is wrong with a JSON text; null if nothing is."""
-    def wrong(x: str) -> str | None:
-        try:
-            text.strict_json(x)
-        except ValueError as e:
-            return str(e)
-        return None
-
-    return values.map(wrong, na_action="ignore")

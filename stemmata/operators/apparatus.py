@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.streams import digests
 from .guards import none_of, repeated
 from .numbering import ordinal
 
@@ -59,6 +60,34 @@ def coverage(matrix: DataFrame, by: list[str]) -> DataFrame:
     return matrix.groupBy(*by).agg(n(READING).alias("n_reading"), n(OMISSION).alias("n_omission"), n(UNATTESTED).alias("n_unattested"), (n(UNATTESTED) == 0).alias("complete"))
 
 
+def counted_coverage(units: DataFrame, witnesses: DataFrame, attestations: DataFrame, version: list[str], *, unit: str = "unit", witness: str = "witness", text: str = "text") -> DataFrame:
+    """``coverage`` of the matrix of all three, without making it: what a witness attests is counted where it stands, and what it leaves
+    out is the rest of its version's units. A witness has one reading of a unit."""
+    sums = _attested(units, attestations, [*version, witness], version, unit, [F.count_if(F.col(text) != "").alias("n_reading"), F.count_if(F.coalesce(text, F.lit("")) == "").alias("n_omission")])
+    whole = _of_all(units, witnesses, sums, version, witness)
+    n = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    out = whole.select(*version, witness, "__units", n("n_reading"), n("n_omission")).withColumn("n_unattested", F.col("__units") - F.col("n_reading") - F.col("n_omission"))
+    return out.select(*version, witness, "n_reading", "n_omission", "n_unattested", (F.col("n_unattested") == 0).alias("complete"))
+
+
+def counted_text(units: DataFrame, witnesses: DataFrame, attestations: DataFrame, version: list[str], *, unit: str = "unit", witness: str = "witness", text: str = "text") -> DataFrame:
+    """``attested_text`` of the matrix of all three in the order of units, without making it."""
+    sums = _attested(units, attestations, [*version, witness], version, unit, [joined_text(F.coalesce(text, F.lit("")), [F.col(unit)]).alias("attested_text"), F.count("*").alias("__n")])
+    whole = _of_all(units, witnesses, sums, version, witness)
+    said, complete = F.coalesce("attested_text", F.lit("")), F.coalesce("__n", F.lit(0)) == F.col("__units")
+    return whole.select(*version, witness, said.alias("attested_text"), complete.alias("complete"), F.when(complete, said).alias("text"))
+
+
+def _attested(units: DataFrame, attestations: DataFrame, by: list[str], version: list[str], unit: str, sums: list[Column]) -> DataFrame:
+    return attestations.join(units.select(*version, unit).distinct(), [*version, unit], "left_semi").groupBy(*by).agg(*sums)
+
+
+def _of_all(units: DataFrame, witnesses: DataFrame, sums: DataFrame, version: list[str], witness: str) -> DataFrame:
+    """The witnesses of all versions that have units, with the number of these and what is known of the witness."""
+    whole = units.groupBy(*version).agg(F.count("*").alias("__units"))
+    return witnesses.select(*version, witness).join(whole, version).join(sums, [*version, witness], "left")
+
+
 def joined_text(text: Column, order: list[Column]) -> Column:
     """Aggregate: texts that are not empty, in order, with a space between."""
     item = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], text.alias("t"))
@@ -80,6 +109,14 @@ def witness_text(attestations: DataFrame, order: list[str], *, witness: str = "w
     return rows.groupBy(witness).agg(joined_text(F.col(text), by).alias("text"))
 
 
+def witness_digest(attestations: DataFrame, order: list[str], *, witness: str = "witness", text: str = "text") -> DataFrame:
+    """(witness, n_chars, sha256) of the text of each witness over the corpus in corpus order; the text itself is never put together."""
+    said = F.when(F.col(text) != "", F.col(text))
+    found = digests(attestations, [witness], [F.col(c) for c in order], said, " ")
+    empty = attestations.select(witness).distinct().join(found, witness, "left")
+    return empty.select(witness, F.coalesce("n_chars", F.lit(0)).cast("long").alias("n_chars"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("sha256"))
+
+
 def primary(readings: DataFrame, unit: list[str], *, option: str = "option", order: list[str]) -> DataFrame:
     """Of each unit the first reading whose option is exactly ``0``, else the first."""
     rank = F.row_number().over(Window.partitionBy(*unit).orderBy((F.coalesce(option, F.lit("")) != "0"), *order))

@@ -9,11 +9,6 @@ from ..functions.text import without_xml_suffix
 from .guards import dangling, none_of
 
 
-def metadata_for(metadata: DataFrame, ids: DataFrame, key: str = "document") -> DataFrame:
-    """Metadata by id or by file name; a field that is absent is null, a field that is null is the text ``null``."""
-    return ids.withColumn("__k", without_xml_suffix(F.col(key))).join(metadata.withColumn("__k", without_xml_suffix(F.col(key))).drop(key), "__k").drop("__k")
-
-
 def attach_metadata(documents: DataFrame, slots: DataFrame, key: str) -> DataFrame:
     """A node for each document, anchored at its work's first slot, else at slot 1."""
     first = slots.groupBy(key).agg(F.min("slot").alias("__slot"))
@@ -71,11 +66,6 @@ def column_catalog(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFra
     return out.withColumn("category", category(F.col("column"), F.when(F.col("column").isin("src", "dst"), "edge").otherwise("node")))
 
 
-def observed_types(values: DataFrame) -> DataFrame:
-    """The node types on which each feature has a value. ``values``: (otype, feature, value)."""
-    return values.where("value is not null").groupBy("feature").agg(F.array_join(F.array_sort(F.collect_set("otype")), " ").alias("otypes"), F.count("*").alias("n_values"))
-
-
 def latency_summary(samples: DataFrame, by: list[str], value: str, order: list[str]) -> DataFrame:
     """First sample, number, median, least and greatest."""
     return samples.groupBy(*by).agg(F.count("*").alias("n"), F.min_by(value, F.struct(*order)).alias("first"), F.median(value).alias("median"), F.min(value).alias("least"), F.max(value).alias("greatest"))

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
-#: Values sampled to find the ranges in which dense ids are counted.
-SAMPLE = 20_000
+from ..storage import kept
+
+#: Bits of a row's place in its range, in the numbers that Spark gives to the rows of a table.
+PLACES = 33
 
 
 def ordinal(keys: list[str], order: list[Column | str]) -> Column:
@@ -18,41 +23,39 @@ def ordinal(keys: list[str], order: list[Column | str]) -> Column:
 def dense_ids(df: DataFrame, order: list[str], name: str, *, ranges: int | None = None, start: int = 1) -> DataFrame:
     """Number all rows by ``order`` without gathering them in one partition.
 
-    Rows are cut into ranges of the first order column at sampled values; a range's first number is the
-    count of all ranges before it, and the rows of a range are numbered in a window of its own. Where the
-    cuts fall only decides how even the ranges are.
+    Rows are sorted over the cluster by the whole order, so that a long run of one leading value is many ranges, and written once with
+    their place in their range. Counting the ranges of that table, one number each, gives what each begins with.
     """
-    lead = order[0]
     n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.select(F.col(lead).alias("x")).where("x is not null")
-    size = rows.count()
-    share = min(1.0, SAMPLE / max(1, size))
-    seen = sorted(r.x for r in (rows.sample(share, seed=1) if share < 1 else rows).limit(2 * SAMPLE).collect())
-    cuts = sorted({seen[len(seen) * i // n] for i in range(1, n)}) if seen else []
-    kind = df.schema[lead].dataType
-    bound = F.array(*[F.lit(c).cast(kind) for c in cuts]) if cuts else F.array().cast(f"array<{kind.simpleString()}>")
-    placed = df.withColumn("__range", F.coalesce(F.size(F.filter(bound, lambda c: c <= F.col(lead))), F.lit(0)))
-    counts = {r["__range"]: r["count"] for r in placed.groupBy("__range").count().collect()}  # one row a range
-    before, total = [], start - 1
-    for k in range(len(cuts) + 1):
+    dealt = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    placed = kept(dealt.withColumn("__at", F.monotonically_increasing_id()), "ordered")
+    part, at = F.shiftright("__at", PLACES), F.col("__at").bitwiseAND((1 << PLACES) - 1)
+    counts = dict(placed.groupBy(part.cast("int").alias("k")).count().collect())  # one row a range
+    before, total = [], start
+    for k in range(max(counts, default=-1) + 1):
         before.append(total)
         total += counts.get(k, 0)
-    number = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
-    offset = F.get(F.array(*[F.lit(b).cast("long") for b in before]), F.col("__range"))
-    return placed.withColumn(name, offset + number).drop("__range")
+    offset = F.get(F.array(*[F.lit(x).cast("long") for x in before]), part.cast("int")) if before else F.lit(0).cast("long")
+    return placed.withColumn(name, offset + at).drop("__at")
 
 
 def type_blocks(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
-    """(otype, node, key): one block of dense ids for each table, in the order of ``tables``."""
-    start, parts = 1, []
-    for otype, (table, order) in tables.items():
-        keyed = table.select(*order).distinct()
-        parts.append(dense_ids(keyed, order, "node", start=start).select(F.lit(otype).alias("otype"), "node", F.concat_ws("/", *[F.col(c).cast("string") for c in order]).alias("key")))
-        start += keyed.count()
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """(otype, node, key): one block of dense ids for each table that has rows, in the order of ``tables``.
+
+    The keys of all types are numbered at once, by their type first: a number or a text of a key stands in a column of its own kind.
+    """
+    widest = max(len(order) for _, order in tables.values())
+    parts = []
+    for rank, (otype, (table, order)) in enumerate(tables.items()):
+        cells = []
+        for i in range(widest):
+            c = F.col(order[i]) if i < len(order) else F.lit(None)
+            text = i < len(order) and isinstance(table.schema[order[i]].dataType, StringType)
+            cells += [(F.lit(None) if text else c).cast("long").alias(f"__n{i}"), (c if text else F.lit(None)).cast("string").alias(f"__t{i}")]
+        key = F.concat_ws("/", *[F.col(c).cast("string") for c in order])
+        parts.append(table.select(*order).distinct().select(F.lit(rank).alias("__rank"), F.lit(otype).alias("otype"), *cells, key.alias("key")))
+    rows = reduce(DataFrame.unionByName, parts)
+    return dense_ids(rows, ["__rank", *[f"__{k}{i}" for i in range(widest) for k in "nt"]], "node").select("otype", "node", "key")
 
 
 def occurrence_label(label: Column, keys: list[str], order: list[Column | str]) -> Column:
@@ -69,12 +72,6 @@ def version_ids(versions: DataFrame, *, work: str = "work_id", slug: str = "slug
     return versions.withColumn("version_id", F.when(only, F.col(work)).when(n == 1, base).otherwise(F.concat(base, F.lit("_"), n.cast("string"))))
 
 
-def session_numbers(df: DataFrame, keys: list[str], order: list[str], starts: Column, name: str) -> DataFrame:
-    """Number the groups of consecutive rows of which each begins where ``starts`` holds."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(name, F.sum(starts.cast("long")).over(w))
-
-
 def bounds(nodes: DataFrame, slots: str = "word") -> DataFrame:
     """max_slot and max_node of a node table (otype, node)."""
     return nodes.agg(F.max(F.when(F.col("otype") == slots, F.col("node"))).alias("max_slot"), F.max("node").alias("max_node"))

@@ -50,16 +50,15 @@ def witness_state_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def witness_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return apparatus.coverage(_matrix(spark, sf_dir), ["version", "witness"])
+    return apparatus.counted_coverage(units(spark, sf_dir), witnesses(spark, sf_dir), attestations(spark, sf_dir), VERSION)
 
 
 def witness_attested_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return apparatus.attested_text(_matrix(spark, sf_dir), ["version", "witness"], ["unit"])
+    return apparatus.counted_text(units(spark, sf_dir), witnesses(spark, sf_dir), attestations(spark, sf_dir), VERSION)
 
 
 def witness_text_corpus_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = apparatus.witness_text(attestations(spark, sf_dir), ["version", "unit"])
-    return found.select("witness", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("sha256"))
+    return apparatus.witness_digest(attestations(spark, sf_dir), ["version", "unit"])
 
 
 def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -344,7 +343,8 @@ def contiguous_type_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def section_coverage_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as slots; orders cover them, and so do parts that are small."""
-    slots = table(spark, sf_dir, "lineitem").select(F.xxhash64(*LINE).alias("slot"), "l_orderkey", "l_partkey").dropDuplicates(["slot"])
+    slot = F.concat(*[F.hex(F.xxhash64(F.lit(seed), *LINE)) for seed in (0, 1)])  # 128 bits: no two of all lines share them
+    slots = table(spark, sf_dir, "lineitem").select(slot.alias("slot"), "l_orderkey", "l_partkey").dropDuplicates(["slot"])
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
     small = table(spark, sf_dir, "part").where("p_size <= 25").select(F.col("p_partkey").alias("l_partkey"))
     owners = slots.join(orders, "l_orderkey").select(F.lit("order").alias("otype"), "slot").unionByName(slots.join(small, "l_partkey").select(F.lit("part").alias("otype"), "slot"))

@@ -8,7 +8,6 @@ that is lost, every second one a generated translation.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import shapes
 from ..sources import xml
 from . import edition
-from .editions import _inside, _tagged
+from .editions import _inside, _tagged, built_once
 from .projections import table
 
 _HEAD = '<divisions><division label="Part" delimiter=":"/><division label="Line" delimiter=""/></divisions>'
@@ -50,16 +49,8 @@ def books(spark: SparkSession, sf_dir: str) -> DataFrame:
     return works.select(_tagged(name, ".xml").alias("path"), content.cast("binary").alias("content"))
 
 
-_last: dict[SparkSession, tuple[list[str], edition.Edition]] = {}
-
-
 def built(spark: SparkSession, sf_dir: str) -> edition.Edition:
-    """The edition of the books. The last one of a session is kept as long as the files of its table are the same."""
-    state = sorted(table(spark, sf_dir, "conversations").select("_metadata.file_path", F.col("_metadata.file_modification_time").cast("string")).distinct().collect())
-    if _last.get(spark, (None,))[0] != state:
-        _last.clear()
-        _last[spark] = state, edition.build(xml.tables_of(books(spark, sf_dir)))
-    return _last[spark][1]
+    return built_once(spark, sf_dir, ("conversations",), books)
 
 
 def codex_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +90,12 @@ def codex_tree_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shapes.version_shapes(built(spark, sf_dir).tables)
 
 
-ALL: list[Callable[[SparkSession, str], DataFrame]] = [codex_anchors, codex_translations, codex_report, codex_tree_shapes]
+def codex_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How nodes without words of their own are shown, and how often."""
+    return edition.labels(built(spark, sf_dir)).groupBy("version_id", "otype", "label").agg(F.count("*").alias("n"))
+
+
+ALL: list[Callable[[SparkSession, str], DataFrame]] = [codex_anchors, codex_translations, codex_report, codex_tree_shapes, codex_labels]
 
 _BOOKS = """t AS (
   SELECT conv_id AS c, turn AS t, turn // 2 AS part, min(role) AS role FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY 1, 2, 3
@@ -143,6 +139,18 @@ WITH {_BOOKS}, broken("check", n_broken) AS (
   UNION ALL SELECT 'parallel_translation_alignment', count(*) FROM v WHERE kind > 2
 )
 SELECT "check", n_broken, n_broken = 0 AS ok FROM broken""",
+    "codex_labels": f"""
+WITH {_BOOKS}, l AS (
+  SELECT version_id, 'manuscript' AS otype, witness AS label FROM m
+  UNION ALL SELECT version_id, 'resource', 'Log' FROM v WHERE kind = 0 AND c % 4 = 0 OR kind = 1
+  UNION ALL SELECT version_id, 'ellipsis', CASE WHEN part % 2 = 0 THEN 'gone' ELSE '...' END FROM p
+  UNION ALL SELECT version_id, 'ellipsis', 'end' FROM v WHERE kind = 0 AND c % 5 = 0
+  UNION ALL SELECT version_id, 'orphan_reading', 'stray ' || c FROM p WHERE (c + part) % 3 = 0
+  UNION ALL SELECT version_id, 'reading', CASE WHEN kind = 2 THEN 'e' || u.t WHEN role = 'system' THEN '[omission]' ELSE 't' || u.t || ' n' || chars END
+    FROM u JOIN t ON u.c = t.c AND u.t = t.t JOIN (SELECT conv_id, turn, sum(length(text))::BIGINT AS chars FROM conversations GROUP BY 1, 2) x ON x.conv_id = u.c AND x.turn = u.t
+  UNION ALL SELECT version_id, 'reading', 'alt' FROM u JOIN t ON u.c = t.c AND u.t = t.t WHERE kind = 0 AND role = 'assistant'
+)
+SELECT version_id, otype, label, count(*) AS n FROM l GROUP BY ALL""",
     "codex_tree_shapes": f"""
 WITH {_BOOKS}, d AS (
   SELECT v.version_id, v.c, v.kind, count(DISTINCT t.part) AS parts, count(*) AS lines, count(DISTINCT CASE WHEN t.part % 2 = 0 THEN t.part END) AS empty,

@@ -25,9 +25,10 @@ def with_contract(df: DataFrame, contract: StructType) -> DataFrame:
     return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in contract.fields])
 
 
-def write(tables: dict[str, DataFrame], target: str, *, checks: DataFrame | None = None, partitions: dict[str, list[str]] | None = None, after_install: Callable[[], None] | None = None) -> None:
+def write(tables: dict[str, DataFrame], target: str, *, checks: DataFrame | None = None, partitions: dict[str, list[str]] | None = None, contracts: dict[str, StructType] | None = None, json_arrays: dict[str, list[str]] | None = None, after_install: Callable[[], None] | None = None) -> None:
     """Install ``tables`` as the Parquet dataset ``target`` (a folder of a local or mounted file system).
 
+    Tables named in ``contracts`` get the columns promised there, in their order; array columns in ``json_arrays`` become JSON texts.
     Failed checks, and an error of ``after_install``, leave the target as it was.
     """
     if checks is not None and not passed(checks):
@@ -39,6 +40,8 @@ def write(tables: dict[str, DataFrame], target: str, *, checks: DataFrame | None
     stage, old = f"{target}.stage-{mark}", f"{target}.old-{mark}"
     try:
         for name, df in tables.items():
+            df = with_contract(df, contracts[name]) if contracts and name in contracts else df
+            df = export_json(df, json_arrays[name]) if json_arrays and name in json_arrays else df
             writer = df.write.option("compression", "zstd")
             if keys := (partitions or {}).get(name):
                 writer = writer.partitionBy(*keys)

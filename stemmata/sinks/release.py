@@ -115,6 +115,14 @@ def listed(spark: SparkSession, value: dict) -> DataFrame:
     return spark.createDataFrame(rows, archives.ROWS)
 
 
+def validate_folder(value: dict, folder: str) -> None:
+    """ValueError unless the files of a folder are those that a manifest lists, no more and no fewer, byte by byte."""
+    listed_ = {m["name"]: (m["bytes"], m["sha256"]) for m in value["assets"]["members"]}
+    found = {name: (n, digest) for name, n, digest in folder_records(folder)}
+    if wrong := sorted(k for k in listed_.keys() | found.keys() if listed_.get(k) != found.get(k)):
+        raise ValueError(f"{folder} differs from its manifest: {', '.join(wrong[:5])}")
+
+
 def stage(files: dict[str, str], folder: str, report: dict, **identity_: str) -> dict[str, str]:
     """Archive, report and manifest of a release in a folder that is empty or new."""
     os.makedirs(folder, exist_ok=True)
