@@ -9,7 +9,7 @@ import sys
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .operators import catalog
+from .operators import audit, catalog
 from .plans import api, edition
 from .session import session
 from .sinks import dataset, page, provenance, release
@@ -23,7 +23,8 @@ TABLES = ("works", "versions", "units", "readings", "words", "variant_words", "s
 def side_tables(spark, files: DataFrame, slots: DataFrame, intros: str | None, classifications: str | None, claims: dict[str, str]) -> tuple[dict[str, DataFrame], DataFrame]:
     """Tables of the side data and of where the sources come from, and their checks. ``files``: (path); ``slots``: (work_id, slot)."""
     tables = {"provenance": spark.createDataFrame(sorted(claims.items()), "key string, value string")}
-    results = {"corpus_license_provenance": provenance.consistent({r.key: r.value for r in tables["provenance"].collect()}, provenance.LOOKED_UP)}
+    terms = provenance.consistent({r.key: r.value for r in tables["provenance"].collect()}, provenance.LOOKED_UP)
+    checks = [spark.createDataFrame([("corpus_license_provenance", int(not terms), terms)], "check string, n_broken long, ok boolean")]
     if classifications and not intros:
         raise ValueError("classifications need the documents of intros.json")
     if intros:
@@ -31,7 +32,7 @@ def side_tables(spark, files: DataFrame, slots: DataFrame, intros: str | None, c
         documents = values.select("document", "source_sha256").distinct().withColumn("work_id", catalog.without_xml_suffix(F.col("document")))
         tables["metadata_values"] = values
         tables["document_metadata"] = catalog.attach_metadata(documents, slots, "work_id")
-        results |= recount.metadata_checks(tables, recount.raw(spark, intros))
+        checks.append(recount.metadata_checks(tables, recount.raw(spark, intros)))
     if classifications:
         read = side.classifications(spark, classifications)
         known = catalog.known_works(read["documents"], tables["document_metadata"], "work_id")
@@ -41,8 +42,8 @@ def side_tables(spark, files: DataFrame, slots: DataFrame, intros: str | None, c
             tables["classifications"] = tables["classifications"].join(labels, "work_id", "left").withColumn(kind, F.coalesce(kind, F.array().cast("array<string>")))
         tables["classification_vocabulary"] = read["genres"].withColumn("kind", F.lit("genres")).unionByName(read["biblical_figures"].withColumn("kind", F.lit("biblical_figures")))
         tables["classification_source"] = read["source"]
-        results |= recount.classification_checks(tables, recount.raw(spark, classifications))
-    return tables, spark.createDataFrame([(k, int(not ok), ok) for k, ok in results.items()], "check string, n_broken long, ok boolean")
+        checks.append(recount.classification_checks(tables, recount.raw(spark, classifications)))
+    return tables, audit.all_checks(*checks)
 
 
 def convert(spark, source: str, output: str, report: str | None, classifications: str | None = None, commit: str | None = None, dictionary: str | None = None) -> int:

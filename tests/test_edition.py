@@ -200,8 +200,8 @@ def test_side_data_is_attached_and_checked(spark, tmp_path):
     assert rows(tables["document_metadata"].select("work_id", "slot")) == [("Alpha", 4), ("Void", 1)]
     assert rows(tables["classifications"].select("work_id", "historical_doc_id", "genres", "biblical_figures")) == [("Alpha", 7, ["h", "g"], [])]
     bad = tables | {"metadata_values": tables["metadata_values"].where("field <> 'author'"), "document_metadata": tables["document_metadata"].limit(1), "classification_vocabulary": tables["classification_vocabulary"].where("id <> 3"), "classifications": tables["classifications"].withColumn("genres", F.reverse("genres"))}
-    found = recount.metadata_checks(bad, intros.read_bytes()) | recount.classification_checks(bad, kinds.read_bytes())
-    assert {k for k, ok in found.items() if not ok} == {"public_metadata_documents", "public_metadata_values", "historical_classification_values", "historical_classification_vocabulary"}
+    found = recount.metadata_checks(bad, recount.raw(spark, str(intros))).unionByName(recount.classification_checks(bad, recount.raw(spark, str(kinds))))
+    assert {r.check for r in found.where("not ok").collect()} == {"public_metadata_documents", "public_metadata_values", "historical_classification_values", "historical_classification_vocabulary"}
     assert cli.side_tables(spark, files, slots, None, None, {**claims, "licence": "other"})[1].where("not ok").count() == 1
     with pytest.raises(ValueError):
         cli.side_tables(spark, files.limit(1), slots, str(intros), None, claims)
