@@ -3,8 +3,8 @@
 Training. In each labelled text a word counts once, with the words before and after its first occurrence;
 equal ones count once a class, so that copies of a text, whole or nearly so, add no evidence. A word's
 weight is the log-odds of its toxic contexts under a Dirichlet prior whose mean is the share of toxic
-contexts of all words. Words that are too rare to tell share the evidence of a beginning: beginnings of 5, 4
-and 3 letters are counted over the words that have no longer chosen one, each without the word that shows
+contexts of all words. Words that are too rare to tell share the evidence of a beginning: beginnings of 8 letters
+down to 2 are counted over the words that have no longer chosen one, each without the word that shows
 most, and chosen only as toxic; last come the words that differ from their chosen beginning, or from the prior. What differs is told by
 Benjamini and Hochberg's rule over all candidates of a step (false discoveries are ``FALSE`` of the chosen,
 whatever the number of labels), with Chernoff's bound as the test.
@@ -42,8 +42,8 @@ from .storage import written
 #: Labelled rows that train the weights and the calibration, at most (in the mean): the labelled set is
 #: thinned by a hash of doc_id when it is larger. All other steps cover all rows.
 TRAIN_ROWS = 60_000
-#: Lengths of the beginnings that words share, longest first.
-BEGINNINGS = (5, 4, 3)
+#: Lengths of the beginnings that words share, longest first: no length is preferred, all compete by the same rule of false discoveries.
+BEGINNINGS = (8, 7, 6, 5, 4, 3, 2)
 #: Pseudo-contexts of the Dirichlet prior of a word or beginning.
 PRIOR = 2.0
 #: Share of false ones among the words and beginnings that get a weight ...
