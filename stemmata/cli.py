@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .operators import audit, catalog
+from .operators.guards import none_of
 from .plans import api, edition
 from .session import session
 from .sinks import dataset, page, provenance, release
@@ -49,7 +50,9 @@ def side_tables(spark, files: DataFrame, slots: DataFrame, intros: str | None, c
 def convert(spark, source: str, output: str, report: str | None, classifications: str | None = None, commit: str | None = None, dictionary: str | None = None) -> int:
     check_folder(source, reviewed_files=(".TJob.xml.un~", "grammateus.dtd", "tags"))
     files = xml.files(spark, source)
-    built = edition.build(xml.read_editions(spark, source))
+    parsed = xml.read_editions(spark, source)
+    none_of(xml.unparsed(files, parsed["works"]), "files with content that no work was read from")
+    built = edition.build(parsed)
     parity = edition.source_parity(built, recount.inventory(files))
     detected, clean = git_commit(source), git_clean(source)
     claims = provenance.describe(provenance.REPOSITORY, commit or detected or "", provenance.LOOKED_UP, detected=detected, clean=clean)
@@ -91,6 +94,7 @@ def main(argv: list[str] | None = None) -> int:
         m.add_argument(name)
     m.add_argument("--output", required=True)
     m.add_argument("--licence-url", default=tei.LICENCE_URL, help="address that the TEI file's licence must have")
+    m.add_argument("--language", default=tei.LANGUAGE, help="language that the TEI file's text must have")
     m.add_argument("--accept-noncommercial", action="store_true")
     d = commands.add_parser("differences", help="members by which one archive differs from another; 1 if there are any")
     d.add_argument("expected")
@@ -111,7 +115,7 @@ def main(argv: list[str] | None = None) -> int:
         print(page.render(api.comparison(tables, a.work, a.chapter, a.verse), around))
         return 0
     with open(a.tei, "rb") as f, open(a.source, "rb") as g:
-        words, source = tei.morphology(spark, f.read(), a.work, a.licence_url), tei.source_words(spark, g.read(), a.work)
+        words, source = tei.morphology(spark, f.read(), a.work, a.licence_url, a.language), tei.source_words(spark, g.read(), a.work)
     own = tables["versions"].where((F.col("work_id") == a.work) & (F.col("version_kind") == "source")).select("version_id")
     slots = tables["words"].join(own, "version_id").join(tables["unit_sections"], ["version_id", "unit"]).select(F.concat("chapter", F.lit("."), "verse").alias("ref"), "slot", "word")
     dataset.overlay(tei.align(source, words, slots), a.dataset, a.output, accept_noncommercial=a.accept_noncommercial)

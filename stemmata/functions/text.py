@@ -7,6 +7,7 @@ from __future__ import annotations
 import html
 import json
 import re
+import string
 from collections.abc import Iterable
 from urllib.parse import urlencode
 
@@ -24,6 +25,18 @@ ASCII_WHITE = r"[\x20\x09-\x0D]"
 # --- columns --------------------------------------------------------------------------------
 
 
+def template(form: str, names: dict[str, str] | None = None) -> Column:
+    """A form such as ``{prefix}{word}{trailer}`` as a projection: columns with nulls as nothing, and what stands between them.
+
+    ``names``: columns by the names that the form uses, where they differ. Braces are doubled to stand for themselves.
+    """
+    parts = []
+    for literal, name, _, _ in string.Formatter().parse(form):
+        parts += [F.lit(literal)] if literal else []
+        parts += [F.coalesce(F.col((names or {}).get(name, name)).cast("string"), F.lit(""))] if name else []
+    return F.concat(*parts) if parts else F.lit("")
+
+
 def plain_text(c: Column) -> Column:
     """White space runs as one space, none at the ends; no zero-width spaces."""
     flat = F.regexp_replace(F.replace(c, F.lit(ZERO_WIDTH), F.lit("")), r"(?U)\s+", " ")

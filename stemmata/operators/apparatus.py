@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.streams import digests
+from ..functions.unicode import slug
 from .guards import none_of, repeated
 from .numbering import ordinal
 
@@ -160,6 +161,15 @@ def undeclared(cited: DataFrame, declared: DataFrame, key: list[str], on: list[s
     return cited.select(*key).distinct().join(declared.select(*(on or key)).distinct(), on or key, "left_anti").withColumn("is_undeclared", F.lit(1))
 
 
+def merged_by_slug(cited: DataFrame, declared: DataFrame, version: list[str], order: list[str]) -> DataFrame:
+    """``cited`` (version.., order.., witness) with undeclared sigla of a version that make one slug as one witness: it bears the siglum that is
+    cited first, of those in one reading the least. Declared sigla stay apart, whatever their slug."""
+    strange = undeclared(cited, declared, [*version, "witness"]).select(*version, "witness", slug("witness").alias("__slug"))
+    first = cited.join(strange, [*version, "witness"]).groupBy(*version, "__slug").agg(F.min_by("witness", F.struct(*order, "witness")).alias("__first"))
+    named = strange.join(first, [*version, "__slug"]).select(*version, "witness", "__first")
+    return cited.join(named, [*version, "witness"], "left").withColumn("witness", F.coalesce("__first", "witness")).select(*cited.columns).distinct()
+
+
 def reading_tokens(tokens: DataFrame, readings: DataFrame, key: list[str]) -> DataFrame:
     """Tokens of readings that have text: a reading without text has none."""
     return tokens.join(readings.where(F.coalesce("text", F.lit("")) != "").select(*key).distinct(), key, "left_semi")

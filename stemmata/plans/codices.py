@@ -76,8 +76,9 @@ def damaged(whole: edition.Edition) -> edition.Edition:
     places = broken(edition.anchors(whole), lambda d: d.withColumn("slot", shifted("slot", (otype == "ellipsis") & (w % 7 == 1))).withColumn("div", F.when((otype != "orphan_reading") | (w % 11 != 2), F.col("div"))))
     versions = broken(edition.with_generation(t["versions"], ""), lambda d: d.withColumn("generation_marker", F.when(w % 10 != 2, F.col("generation_marker"))).withColumn("generation_model", F.when((w % 10 == 4) & (F.col("version_kind") == "source"), "guessed")))
     manuscripts = broken(t["manuscripts"], lambda d: d.where((w % 13 != 3) | (F.col("witness") != "A")).withColumn("version", shifted("version", w % 6 == 4)))
+    units = broken(t["units"], lambda d: d.withColumn("unit_id", F.when(w % 9 == 5, "").otherwise(F.col("unit_id"))).withColumn("source_ref", F.when(w % 9 == 5, F.get("path", F.lit(0))).otherwise(F.col("source_ref"))))
     resources = broken(t["resources"], lambda d: d.withColumn("version_id", F.when(w % 8 == 0, F.concat("version_id", F.lit("x"))).otherwise(F.col("version_id"))))
-    return edition.Edition(t | {"anchors": places, "versions": versions, "manuscripts": manuscripts, "resources": resources}, whole.warnings)
+    return edition.Edition(t | {"anchors": places, "versions": versions, "manuscripts": manuscripts, "resources": resources, "units": units}, whole.warnings)
 
 
 def codex_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +96,12 @@ def codex_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edition.labels(built(spark, sf_dir)).groupBy("version_id", "otype", "label").agg(F.count("*").alias("n"))
 
 
-ALL: list[Callable[[SparkSession, str], DataFrame]] = [codex_anchors, codex_translations, codex_report, codex_tree_shapes, codex_labels]
+def codex_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of each version by the form of its words, with what separates units."""
+    return edition.running_text(built(spark, sf_dir))
+
+
+ALL: list[Callable[[SparkSession, str], DataFrame]] = [codex_anchors, codex_translations, codex_report, codex_tree_shapes, codex_labels, codex_texts]
 
 _BOOKS = """t AS (
   SELECT conv_id AS c, turn AS t, turn // 2 AS part, min(role) AS role FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY 1, 2, 3
@@ -137,6 +143,7 @@ WITH {_BOOKS}, broken("check", n_broken) AS (
   UNION ALL SELECT 'resource_ownership', count(*) FROM n WHERE otype = 'resource' AND c % 8 = 0
   UNION ALL SELECT 'generated_translation_provenance', count(*) FROM v WHERE c % 10 = 2 AND kind = 2 OR c % 10 = 4 AND kind < 2
   UNION ALL SELECT 'parallel_translation_alignment', count(*) FROM v WHERE kind > 2
+  UNION ALL SELECT 'missing_unit_id_once', count(*) FROM (SELECT version_id, c FROM u WHERE c % 9 = 5 GROUP BY version_id, c, part HAVING count(*) > 1)
 )
 SELECT "check", n_broken, n_broken = 0 AS ok FROM broken""",
     "codex_labels": f"""
@@ -151,6 +158,12 @@ WITH {_BOOKS}, l AS (
   UNION ALL SELECT version_id, 'reading', 'alt' FROM u JOIN t ON u.c = t.c AND u.t = t.t WHERE kind = 0 AND role = 'assistant'
 )
 SELECT version_id, otype, label, count(*) AS n FROM l GROUP BY ALL""",
+    "codex_texts": f"""
+WITH {_BOOKS}, x AS (
+  SELECT version_id, unit, CASE WHEN kind = 2 THEN 'e' || u.t WHEN role = 'system' THEN '' ELSE 't' || u.t || ' n' || chars END AS said, unit = max(unit) OVER (PARTITION BY version_id) AS last
+  FROM u JOIN t ON u.c = t.c AND u.t = t.t JOIN (SELECT conv_id, turn, sum(length(text))::BIGINT AS chars FROM conversations GROUP BY 1, 2) y ON y.conv_id = u.c AND y.turn = u.t
+)
+SELECT version_id, string_agg(said || CASE WHEN last THEN '' ELSE ' ' END, '' ORDER BY unit) AS text FROM x GROUP BY version_id""",
     "codex_tree_shapes": f"""
 WITH {_BOOKS}, d AS (
   SELECT v.version_id, v.c, v.kind, count(DISTINCT t.part) AS parts, count(*) AS lines, count(DISTINCT CASE WHEN t.part % 2 = 0 THEN t.part END) AS empty,

@@ -116,7 +116,7 @@ def test_where_nodes_without_words_stand(built):
 
 
 def test_each_check_of_ownership_notices_damage(built):
-    names = ["ellipsis_anchors", "generated_translation_provenance", "manuscript_ownership", "orphan_reading_anchors", "orphan_witness_ownership", "parallel_translation_alignment", "resource_ownership"]
+    names = ["ellipsis_anchors", "generated_translation_provenance", "manuscript_ownership", "missing_unit_id_once", "orphan_reading_anchors", "orphan_witness_ownership", "parallel_translation_alignment", "resource_ownership"]
     assert rows(edition.ownership_checks(built)) == [(n, 0, True) for n in names]
     at = lambda kind: F.col("otype") == kind
     swap = lambda d: d.withColumn("unit", F.when(F.col("version_id") == "Gamma__English_Translation", 1 - F.col("unit")).otherwise(F.col("unit")))
@@ -134,6 +134,7 @@ def test_each_check_of_ownership_notices_damage(built):
         ("parallel_translation_alignment", "unit_alignment", lambda d: d.where("translation_unit <> 0")),
         ("parallel_translation_alignment", "unit_alignment", lambda d: d.withColumn("source_unit", F.lit(1))),
         ("parallel_translation_alignment", "manuscripts", lambda d: d.where("witness <> 'Eng'")),
+        ("missing_unit_id_once", "units", lambda d: d.withColumn("unit_id", F.lit("")).withColumn("source_ref", F.lit("1"))),
         ("parallel_translation_alignment", "versions", lambda d: d.withColumn("source_format", F.lit("modern"))),
     ]
     for name, table, damage in broken:

@@ -180,10 +180,10 @@ def test_side_sources(spark, tmp_path):
     path.write_text(json.dumps({"documents": {"Alpha.xml": {"title": "T", "version": [], "fields": {}}}}))
     with pytest.raises(ValueError, match="scalar"):
         side.metadata(spark, str(path))
-    c = {"source": {str(i): "x" for i in range(6)}, "genres": [{"id": 1, "label": "g"}], "biblical_figures": [], "documents": [{"historical_doc_id": 1, "work_id": "Alpha", "genre_ids": [1], "biblical_figure_ids": []}]}
+    c = {"source": dict.fromkeys(side.SOURCE_KEYS, "x"), "genres": [{"id": 1, "label": "g"}], "biblical_figures": [], "documents": [{"historical_doc_id": 1, "work_id": "Alpha", "genre_ids": [1], "biblical_figure_ids": []}]}
     path.write_text(json.dumps(c))
     assert side.classifications(spark, str(path))["documents"].count() == 1
-    for change in ({"genres": []}, {"genres": [{"id": 0, "label": "g"}]}, {"documents": c["documents"] * 2}, {"extra": 1}):
+    for change in ({"genres": []}, {"genres": [{"id": 0, "label": "g"}]}, {"documents": c["documents"] * 2}, {"extra": 1}, {"source": dict.fromkeys("abcdef", "x")}, {"source": c["source"] | {"status": " "}}):
         path.write_text(json.dumps(c | change))
         with pytest.raises(ValueError):
             side.classifications(spark, str(path))
@@ -192,7 +192,7 @@ def test_side_sources(spark, tmp_path):
 def test_side_data_is_attached_and_checked(spark, tmp_path):
     intros, kinds = tmp_path / "intros.json", tmp_path / "c.json"
     intros.write_text(json.dumps({"documents": {"Alpha.xml": {"title": "T", "version": 1.0, "author": None, "fields": {"status": "é"}}, "Void.xml": {"title": "V", "version": 2, "fields": {}}}}))
-    kinds.write_text(json.dumps({"source": {str(i): "x" for i in range(6)}, "genres": [{"id": 1, "label": "g"}, {"id": 2, "label": "h"}, {"id": 3, "label": "unused"}], "biblical_figures": [], "documents": [{"historical_doc_id": 7, "work_id": "Alpha", "genre_ids": [2, 1], "biblical_figure_ids": []}]}))
+    kinds.write_text(json.dumps({"source": dict.fromkeys(side.SOURCE_KEYS, "x"), "genres": [{"id": 1, "label": "g"}, {"id": 2, "label": "h"}, {"id": 3, "label": "unused"}], "biblical_figures": [], "documents": [{"historical_doc_id": 7, "work_id": "Alpha", "genre_ids": [2, 1], "biblical_figure_ids": []}]}))
     files, slots = spark.createDataFrame([("/x/Alpha.xml",), ("/x/Void.xml",)], "path string"), spark.createDataFrame([("Alpha", 4), ("Beta", 1)], "work_id string, slot int")
     claims = provenance.describe(provenance.REPOSITORY, provenance.COMMIT, provenance.LOOKED_UP, detected=provenance.COMMIT, clean=True)
     tables, checks = cli.side_tables(spark, files, slots, str(intros), str(kinds), claims)

@@ -96,3 +96,10 @@ def test_a_folder_is_that_of_its_manifest(tmp_path):
     (folder / "c.parquet").write_bytes(b"new")
     with pytest.raises(ValueError, match="c.parquet"):
         release.validate_folder(value, str(folder))
+
+
+def test_undeclared_sigla_of_one_slug_are_one_witness(spark):
+    cited = spark.createDataFrame([("v", 2, 1, "Z a"), ("v", 1, 1, "Z_a"), ("v", 1, 2, "Z-a"), ("v", 3, 1, "P"), ("v", 4, 1, "P!"), ("w", 1, 1, "Z a"), ("v", 5, 1, "Z a"), ("v", 5, 1, "Z_a")], "v string, unit int, reading int, witness string")
+    declared = spark.createDataFrame([("v", "P")], "v string, witness string")
+    found = rows(apparatus.merged_by_slug(cited, declared, ["v"], ["unit", "reading"]))
+    assert found == [("v", 1, 1, "Z_a"), ("v", 1, 2, "Z_a"), ("v", 2, 1, "Z_a"), ("v", 3, 1, "P"), ("v", 4, 1, "P!"), ("v", 5, 1, "Z_a"), ("w", 1, 1, "Z a")]
