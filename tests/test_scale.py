@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 from stemmata.functions import streams
 from stemmata.operators import apparatus, audit, numbering
 from stemmata.sinks import dataset, release
+from stemmata.sources import xml
+from stemmata.storage import kept
 
 
 def test_digests_stream(spark):
@@ -103,3 +105,20 @@ def test_undeclared_sigla_of_one_slug_are_one_witness(spark):
     declared = spark.createDataFrame([("v", "P")], "v string, witness string")
     found = rows(apparatus.merged_by_slug(cited, declared, ["v"], ["unit", "reading"]))
     assert found == [("v", 1, 1, "Z_a"), ("v", 1, 2, "Z_a"), ("v", 2, 1, "Z_a"), ("v", 3, 1, "P"), ("v", 4, 1, "P!"), ("v", 5, 1, "Z_a"), ("w", 1, 1, "Z a")]
+
+
+def test_kept_tables_are_never_gathered_in_the_driver_to_be_sent_whole(spark, tmp_path):
+    """60,000 rows of one long text are a few KB of files, by which Spark would broadcast them."""
+    wide = kept(spark.range(60_000).withColumn("text", F.repeat(F.lit("x"), 100)), "wide")
+    other = spark.range(100_000).select("id", (F.col("id") % 7).alias("n"))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan(other.join(wide, "id"))
+    assert "Broadcast" not in plan(other.join(wide.where("id > 5").select("id").distinct(), "id", "left"))
+
+
+def test_records_find_their_work_without_a_join(spark):
+    docs = spark.createDataFrame([(f"C{i}.xml", bytearray(f'<book filename="C{i}" title="" textStructure="fluid"><version title="V" author="" language="Greek"><divisions><division label="C" delimiter=""/></divisions><manuscripts><ms abbrev="A" language="Greek" show="yes"/></manuscripts><text><div number="1"><unit id="1"><reading option="0" mss="A">a b</reading></unit></div></text></version></book>', "utf-8")) for i in range(3)], "path string, content binary")
+    tables = xml.tables_of(docs)
+    assert "Join" not in tables["tokens"]._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.work_id, r.word) for r in tables["tokens"].collect()) == [(f"C{i}", w) for i in range(3) for w in "ab"]
+    assert {r.work_id for r in tables["works"].collect()} == {"C0", "C1", "C2"}
