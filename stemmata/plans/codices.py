@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import shapes
 from ..sources import xml
 from . import edition
-from .editions import _inside, _tagged, built_once
+from .editions import _inside, _tagged, built_once, spread
 from .projections import table
 
 _HEAD = '<divisions><division label="Part" delimiter=":"/><division label="Line" delimiter=""/></divisions>'
@@ -33,11 +33,11 @@ def books(spark: SparkSession, sf_dir: str) -> DataFrame:
     english = _tagged('<div number="', t % 2, '"><unit id="en_', c, ".", t, '"><reading option="0" mss="OCP-Trans">e', t, "</reading></unit></div>")
     lines = turns.withColumn("xml", line).withColumn("en", english)
     by = ["conv_id", "part"]
-    parts = _inside(lines, by, ["turn"], "xml").join(_inside(lines, by, ["turn"], "en"), by)
+    parts = _inside(spread(lines, "conv_id"), by, ["turn"], "xml", "en")
     empty = F.when(part % 2 == 0, '<div number="9"><elipsis>gone</elipsis></div>').otherwise("<elipsis>...</elipsis>")
     stray = F.when((c + part) % 3 == 0, _tagged('<reading option="0" mss="A">stray ', c, "</reading>")).otherwise("")
     parts = parts.withColumn("xml", _tagged('<div number="', part, '">', F.col("xml"), empty, stray, "</div>")).withColumn("en", _tagged('<div number="', part, '">', F.col("en"), "</div>"))
-    works = _inside(parts, ["conv_id"], ["part"], "xml").join(_inside(parts, ["conv_id"], ["part"], "en"), "conv_id")
+    works = _inside(parts, ["conv_id"], ["part"], "xml", "en")
     witness = '<ms abbrev="A" language="Greek" show="yes"/>'
     link = _tagged('<resources><resource name="Log"><info>kept</info><URL>http://example.org/', c, "</URL></resource></resources>")
     last = F.when(c % 5 == 0, '<div number="99"><elipsis>end</elipsis></div>').otherwise("")

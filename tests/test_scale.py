@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from stemmata.functions import streams
 from stemmata.operators import apparatus, audit, numbering
+from stemmata.plans import codices, editions
 from stemmata.sinks import dataset, release
 from stemmata.sources import xml
 from stemmata.storage import kept
@@ -122,3 +123,9 @@ def test_records_find_their_work_without_a_join(spark):
     assert "Join" not in tables["tokens"]._jdf.queryExecution().executedPlan().toString()
     assert sorted((r.work_id, r.word) for r in tables["tokens"].collect()) == [(f"C{i}", w) for i in range(3) for w in "ab"]
     assert {r.work_id for r in tables["works"].collect()} == {"C0", "C1", "C2"}
+
+
+def test_books_are_dealt_over_all_tasks_before_they_are_parsed(spark):
+    """Adaptive planning would put few bytes into one task, however long they take to parse."""
+    assert editions.books(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert codices.books(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
