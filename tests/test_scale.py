@@ -8,7 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from stemmata.functions import streams
-from stemmata.operators import apparatus, audit, numbering
+from stemmata.operators import alignment, apparatus, audit, numbering
 from stemmata.plans import codices, editions
 from stemmata.sinks import dataset, release
 from stemmata.sources import xml
@@ -129,3 +129,16 @@ def test_books_are_dealt_over_all_tasks_before_they_are_parsed(spark):
     """Adaptive planning would put few bytes into one task, however long they take to parse."""
     assert editions.books(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert codices.books(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_differences_and_numbers_of_targets_take_one_grouping(spark):
+    """Joins of grouped sides hold two groupings and two sorts in a task; nulls equal nothing of the other side, as in a join."""
+    a, b = (spark.createDataFrame(x, "k long, m int") for x in ([(1, 1), (1, 1), (2, 1), (None, 1)], [(1, 1), (3, 1), (None, 1), (None, 1)]))
+    edges = spark.createDataFrame([(1, 5), (1, 5), (1, 6), (None, 7), (9, 9)], "src long, dst long")
+    nodes = spark.createDataFrame([(1,), (1,), (2,), (None,)], "node long")
+    gap, drift, few = audit.key_difference(a, b, ["k"]), alignment.drift(a, b, ["k", "m"]), audit.cardinality(edges, nodes, 1, 1)
+    assert rows(gap) == sorted([(2, "left"), (None, "left"), (3, "right"), (None, "right")], key=repr)
+    assert rows(drift) == sorted([(1, 1, 1, 0, 1), (2, 1, 0, 0, 1), (3, 1, 0, 1, 0), (None, 1, 0, 0, 1), (None, 1, 0, 2, 0)], key=repr)
+    assert rows(few) == sorted([(1, 2), (2, 0), (None, 0)], key=repr)
+    for df in (gap, drift, few):
+        assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
