@@ -86,5 +86,25 @@ def positional(*sides: DataFrame, on: list[str]) -> DataFrame:
     return out
 
 
+def positional_within(rows: DataFrame, key: str, order: list[Column], sides: list[Column]) -> DataFrame:
+    """``positional`` for sides of one table: (key, position, the sides' columns). A side is an array of structs with columns of its own, what
+    a row has there: nothing (also null), one, or several in a row. Their positions count along ``order``.
+
+    Rows are sent once, by key; the k-th of each side meet in one grouping there, which the key already keeps together. What a row has at one
+    position on several sides is one record of that grouping.
+    """
+    every = range(len(sides))
+    upto = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = rows.repartition(key).select("*", *[F.coalesce(c, F.array()).alias(f"__s{i}") for i, c in enumerate(sides)])
+    before = [(F.sum(F.size(f"__s{i}")).over(upto) - F.size(f"__s{i}")).alias(f"__n{i}") for i in every]
+    counted = held.select(key, *[f"__s{i}" for i in every], *before)
+    apart = lambda i: F.when(F.col(key).isNull(), i).otherwise(-1)  # noqa: E731  a null key equals no other side's
+    places = [F.transform(f"__s{i}", lambda _, at: F.struct(apart(i).alias("apart"), (F.col(f"__n{i}") + at + 1).alias("position"))) for i in every]
+    each = counted.withColumn("__at", F.explode(F.array_distinct(F.concat(*places))))
+    there = lambda i: F.when(F.col("__at.apart").isin(-1, i), F.get(f"__s{i}", (F.col("__at.position") - F.col(f"__n{i}") - 1).cast("int")))
+    cells = each.select(key, "__at.*", *[there(i).alias(f"__c{i}") for i in every]).select(key, "apart", "position", *[f"__c{i}.*" for i in every])
+    return cells.groupBy(key, "apart", "position").agg(*[F.max(c).alias(c) for c in cells.columns[3:]]).drop("apart")
+
+
 def coverage_ratio(aligned: Column, total: Column) -> Column:
     return F.round(F.when(total == 0, F.lit(1.0)).otherwise(aligned / total), 3)

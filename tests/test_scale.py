@@ -172,3 +172,19 @@ def test_coverage_is_counted_by_key(spark, tmp_path):
     assert rows(df) == sorted(want, key=repr)
     spark.createDataFrame(lines[:0], line).write.parquet(str(tmp_path / "lineitem.parquet"), mode="overwrite")
     assert catalogue.section_coverage_exactly_once(spark, str(tmp_path)).collect() == []
+
+
+def test_positions_of_one_table_are_sent_once(spark, tmp_path):
+    """Lines without a part or of several, equal ones, unpriced ones and those of no order: as SQL joins them, though lines are sent by order once."""
+    line = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    rng = random.Random(5)
+    lines = [(rng.choice([None, *range(12)]), rng.choice([None, *range(6)]), rng.randint(1, 3), rng.choice([None, 1, 2, 3]), rng.choice([None, 1.0, 2.0, 3.0]), 1.0, 0.1, 0.1, "N", "O", None) for _ in range(150)]
+    names = [(0, "a"), (1, "b"), (1, "b"), (2, None), (3, "d"), (None, "e"), (9, "f")]
+    spark.createDataFrame(lines, line).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame(names, "p_partkey long, p_name string").write.parquet(str(tmp_path / "part.parquet"))
+    df = catalogue.positional_threeway_join(spark, str(tmp_path))
+    views = ", ".join(f"{t} AS (SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet')" for t in ("lineitem", "part"))
+    want = duckdb.sql(f"WITH {views} SELECT * FROM ({SQL['positional_threeway_join']})").fetchall()
+    assert rows(df) == sorted(want, key=repr)
+    plan = catalogue.positional_threeway_join(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in plan and plan.count("Exchange hashpartitioning(l_orderkey") == 1
