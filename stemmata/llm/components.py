@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import written
+from .storage import stored
 
 
 def _sum(links: DataFrame) -> tuple:
@@ -18,7 +18,7 @@ def _sum(links: DataFrame) -> tuple:
 
 
 def _least(links: DataFrame) -> DataFrame:
-    return links.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    return links.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).hint("merge")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -26,16 +26,16 @@ def components(links: DataFrame) -> DataFrame:
 
     Null ends and loops are left out; an empty list has no node.
     """
-    now = written(links.select(F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u")).where("u <> v").distinct(), "links")
+    now = stored(links.select(F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u")).where("u <> v").distinct(), "links")
     seen = _sum(now)
     while seen[0]:
         both = now.select("u", "v").unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = _least(large)
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v")))
-        now = written(small.where("u <> v").distinct(), "links")
+        now = stored(small.where("u <> v").distinct(), "links")
         if (new := _sum(now)) == seen:
             break
         seen = new
     heads = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(heads)
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(heads).hint("merge")

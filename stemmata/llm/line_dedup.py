@@ -141,7 +141,7 @@ def dedup(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", least:
     index = distinct.where(F.col("n") * HOT <= total).select(shard, F.lit(False).alias("probe"), "h1", "h2", F.col("owner").alias("doc"), "n")
     probes = narrow.mapInArrow(lambda it: _keys(it, least, hot), "h1 long, h2 long, doc long").select(shard, F.lit(True).alias("probe"), "h1", "h2", "doc", F.lit(0).cast("long").alias("n"))
     stream = index.unionByName(probes).repartition(max(n, shards // 4), "shard").sortWithinPartitions("shard", "probe")
-    drops = stream.mapInArrow(_probe, "doc long, h1 long").groupBy("doc").agg(F.collect_set("h1").alias("__drops"))
+    drops = stream.mapInArrow(_probe, "doc long, h1 long").groupBy("doc").agg(F.collect_set("h1").alias("__drops")).hint("merge")
 
     names = [c for c in docs.columns if c not in RESULT]
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in names]

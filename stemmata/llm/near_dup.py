@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import partitions, written
+from .storage import partitions, stored
 from .text import as_bytes, mixed, shingle_sets
 
 WIDTH = 5
@@ -301,25 +301,25 @@ def classes_and_components(narrow: DataFrame, *, width: int = WIDTH, percent: in
     ``only`` (doc): rows of other docs are left out.
     """
     sketches = narrow.mapInArrow(lambda it: _describe(it, width), "doc long, mark long, n long, digest binary, sketch binary, bands array<long>")
-    described = written(sketches if only is None else sketches.join(only, "doc", "left_semi"), "sketches")
+    described = stored(sketches if only is None else sketches.join(only, "doc", "left_semi"), "sketches")
     grouped = described.where("n > 0").groupBy("digest").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"), F.count("*").alias("members"))
-    classes = written(grouped.withColumn("id", F.monotonically_increasing_id()), "classes")
+    classes = stored(grouped.withColumn("id", F.monotonically_increasing_id()), "classes")
     banded = classes.select("id", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("id").alias("root"), F.count("*").alias("size")).where("size > 1")
-    in_buckets = written(banded.join(buckets, "key").select("key", "root", "size", "id"), "buckets")
+    in_buckets = stored(banded.join(buckets, "key").select("key", "root", "size", "id"), "buckets")
     stars = in_buckets.where("id <> root").select(F.col("root").alias("a"), F.col("id").alias("b")).distinct()
-    candidates = written(_screen(stars, classes, percent), "pairs")
+    candidates = stored(_screen(stars, classes, percent), "pairs")
     # one text of each class that shares a bucket with another
     involved = in_buckets.select("id").distinct().join(classes.select("id", "doc", "digest"), "id")
-    texts = written(_of_digest(narrow.select("doc", "text").join(involved, "doc").select("id", "digest", "text"), width).dropDuplicates(["id"]), "texts")
-    links = written(_verified(candidates, texts, width, percent), "found")
+    texts = stored(_of_digest(narrow.select("doc", "text").join(involved, "doc").select("id", "digest", "text"), width).dropDuplicates(["id"]), "texts")
+    links = stored(_verified(candidates, texts, width, percent), "found")
     edges = lambda: links.select(F.col("a").alias("u"), F.col("b").alias("v"))
     labels = components(edges())
-    labelled = written(in_buckets.join(labels, in_buckets["id"] == labels["node"], "left").select("key", "size", "id", F.coalesce("component", "id").alias("component")), "labelled")
+    labelled = stored(in_buckets.join(labels, in_buckets["id"] == labels["node"], "left").select("key", "size", "id", F.coalesce("component", "id").alias("component")), "labelled")
     still = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
     rows = labelled.join(still, "key").join(classes.select("id", "n", "sketch"), "id").select("key", "size", "id", "component", "n", "sketch")
-    needed = written(_needed(rows, percent).join(labelled.select("key", "id", "component"), ["key", "id"]), "needed")
-    more = written(_exact_links(needed, texts, width, percent).distinct(), "found")
+    needed = stored(_needed(rows, percent).join(labelled.select("key", "id", "component"), ["key", "id"]), "needed")
+    more = stored(_exact_links(needed, texts, width, percent).distinct(), "found")
     if more.limit(1).count():
         links = links.unionAll(more)
         labels = components(edges())
@@ -333,7 +333,7 @@ def _with_component(described: DataFrame, found: DataFrame) -> DataFrame:
 
     The components of hot classes go to every task, so that no task gets all copies of a text.
     """
-    found = written(found, "components")
+    found = stored(found, "components")
     total = found.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     hot = F.broadcast(found.where(F.col("size") * HOT > total).select("digest", "component"))  # fewer than HOT rows
     cold = found.where(F.col("size") * HOT <= total).select("digest", "component")
@@ -378,7 +378,7 @@ def first_of_each(docs: DataFrame, *, before: DataFrame | None = None, text: str
     rows = _with_component(*classes_and_components(now, width=width, percent=percent))
     if before is not None:
         # one search each: a document's texts of then and now would mostly find one another
-        rows = written(rows, "rows")
+        rows = stored(rows, "rows")
         then = _with_component(*classes_and_components(_narrow(before, text, doc_id), width=width, percent=percent, only=rows.select("doc").distinct()))
         ties = components(rows.select("doc", "component").unionAll(then.select("doc", "component")).select(F.col("doc").alias("u"), F.col("component").alias("v")))
         rows = rows.drop("component").join(ties, rows["doc"] == ties["node"], "left").select("doc", "mark", F.coalesce("component", "doc").alias("component"))

@@ -35,6 +35,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``written``, and joins with the table are by sorting unless a broadcast is asked for: the size of its files, and a share of it for
+    some columns, says little of its rows, least of all where an array among them is exploded into many."""
+    return written(df, name).hint("merge")
+
+
 def keep_until_exit(spark: SparkSession, path: str) -> str:
     """Note a folder that the process shall delete at its end, as it does with written tables."""
     _written.append((spark, path))

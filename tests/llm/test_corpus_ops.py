@@ -413,3 +413,19 @@ def test_texts_reach_the_end_whole(spark):
     t = "line of the text\n" * 3
     got = line_dedup.dedup(documents(spark, [(1, t)])).first()
     assert got.text == t and got.n_dropped == 0
+
+
+def test_exploded_bands_are_not_sent_whole_to_all_tasks(spark, monkeypatch):
+    """A class has 21 bands, and a share of its files for ids and bands tells nothing of that: Spark would gather millions of rows in the driver."""
+    plans, write = {}, near_dup.stored
+
+    def noted(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(near_dup, "stored", noted)
+    rows = [(i, f"{'the same words stand here again and again ' * 3} {'x' * (i % 3)}") for i in range(30)]
+    near_dup.near_duplicates(documents(spark, rows)).collect()
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
+    for name in ("buckets", "pairs", "labelled", "needed"):
+        assert "Join" in plans[name] and "Broadcast" not in plans[name]
