@@ -2,7 +2,8 @@
 
 A division's anchor is the first slot of its subtree, else that of the nearest ancestor whose subtree has one, else the
 version's first. Subtrees are ranges of division numbers, so the slots find all their divisions by a range
-join and the divisions all their ancestors by another; none is walked.
+join and the divisions all their ancestors by another; none is walked. Subtrees and their first slots are written once: each
+is needed several times, and so a plan that holds several anchors stays small.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..storage import kept
 from .intervals import containing, subtrees
 
 V = ["version_id"]
@@ -25,9 +27,9 @@ def first_slots(units: DataFrame, words: DataFrame) -> DataFrame:
 
 def div_anchors(divs: DataFrame, slots: DataFrame) -> DataFrame:
     """(version_id, div, slot, anchor_div) of every division of a version with slots; ``anchor_div`` is null for the version's first slot."""
-    trees = subtrees(divs.select(*V, "div", "level"), V).select(*V, "div", "last_div").withColumn("div", F.col("div").cast("long"))
+    trees = kept(subtrees(divs.select(*V, "div", "level"), V).select(*V, "div", "last_div").withColumn("div", F.col("div").cast("long")), "subtrees")
     own = slots.select(*V, F.col("div").cast("long").alias("at"), "slot")
-    held = containing(own, trees, V, inner_range=("at", "at"), outer_range=("div", "last_div")).groupBy(*V, "div").agg(F.min("slot").alias("slot"))
+    held = kept(containing(own, trees, V, inner_range=("at", "at"), outer_range=("div", "last_div")).groupBy(*V, "div").agg(F.min("slot").alias("slot")), "held")
     rooted = trees.join(held, [*V, "div"])
     bare = trees.join(held, [*V, "div"], "left_anti").select(*V, F.col("div").alias("at"))
     # as of its place, the last division to open among those around it that have slots

@@ -43,7 +43,7 @@ def containing(inner: DataFrame, outer: DataFrame, on: list[str], *, inner_range
     own = inner.where(F.col(a) <= F.col(b))
     fit = F.filter(F.array(*map(F.lit, levels)), lambda x: x >= _level(F.col(a), F.col(b)))
     asked = own.withColumn("__level", F.explode(fit)).withColumn("__bin", F.expr(f"shiftright(`{a}`, __level)"))
-    both = asked.join(held, [*on, "__level", "__bin"])
+    both = asked.join(held.hint("merge"), [*on, "__level", "__bin"])  # both sides have more rows than what they are exploded from, by whose size Spark would broadcast them
     return both.where((F.col(c) <= F.col(a)) & (F.col(b) <= F.col(d))).drop("__level", "__bin")
 
 

@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from stemmata.functions import streams
-from stemmata.operators import alignment, apparatus, audit, numbering
+from stemmata.operators import alignment, apparatus, audit, intervals, numbering
 from stemmata.plans import catalogue, codices, editions
 from stemmata.plans.oracles import SQL
 from stemmata.sinks import dataset, release
@@ -188,3 +188,11 @@ def test_positions_of_one_table_are_sent_once(spark, tmp_path):
     assert rows(df) == sorted(want, key=repr)
     plan = catalogue.positional_threeway_join(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert "FullOuter" not in plan and plan.count("Exchange hashpartitioning(l_orderkey") == 1
+
+
+def test_ranges_in_bins_are_not_sent_whole_to_all_tasks(spark):
+    """Both sides are exploded, into more rows than Spark thinks by the size of what they are made of."""
+    ranges = spark.range(2000).select((F.col("id") % 7).cast("string").alias("v"), F.col("id").alias("a"), (F.col("id") + 9).alias("b"))
+    other = ranges.select("v", F.col("a").alias("c"), F.col("b").alias("d"))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan(intervals.containing(ranges, other, ["v"], inner_range=("a", "a"), outer_range=("c", "d")))
