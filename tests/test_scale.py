@@ -207,14 +207,19 @@ def book(work, titles, text='<div number="1"><unit id="1"><reading option="0" ms
     return (f"{work}.xml", bytearray(f'<book filename="{work}" title="" textStructure="fluid">{versions}</book>', "utf-8"))
 
 
-def test_records_need_no_join_to_find_their_version_and_unit(spark):
+def test_records_need_no_join_to_find_their_version_and_unit(spark, monkeypatch):
     """Units, readings and words are projections of the parsed table; others are not made before they are asked for."""
+    written = {}
+    monkeypatch.setattr(edition, "kept", lambda df, name: written.setdefault(name, df) and kept(df, name))
     docs = [book("C1", ["V", "v!", "V", "W"]), book("C2", ["V"]), book("C3", ["V", "Void"], "")]
     built = edition.build(xml.tables_of(spark.createDataFrame(docs, "path string, content binary")))
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
     for name in ("versions", "divs", "units", "readings", "variant_words"):
         assert not any(x in plan(built[name]) for x in ("Join", "Window", "Exchange")), name
     assert all(not isinstance(dict.__getitem__(built.tables, n), DataFrame) for n in ("words", "sections", "manuscripts", "reading_witness"))
+    for name in ("sections", "unit_sections", "manuscripts", "reading_witness"):
+        assert "Broadcast" not in plan(built[name]), name
+    assert {"sections", "cited"} <= written.keys() and not any("Broadcast" in plan(df) for df in written.values())
     assert rows(built["versions"].select("version_id", "is_metadata_only")) == sorted([("C1__V", False), ("C1__v", False), ("C1__V_2", False), ("C1__W", False), ("C2", False), ("C3__V", True), ("C3__Void", True)], key=repr)
     assert [r.slot for r in built["words"].orderBy("slot").collect()] == list(range(1, 16))
     assert {(r.word, r.boundary) for r in built["words"].collect()} == {("a", ""), ("b", ""), ("c", "")}
